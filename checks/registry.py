@@ -160,7 +160,7 @@ def do_cap(spark, sf):
 def do_cap_rows(spark, sf):
     rows = clean(spark, sf)
     verdicts = casttests.do_cap(rows)
-    out = layout.per_cast(rows, lambda p: run.attach_cast_tables(p, verdicts))
+    out = layout.per_cast(rows, lambda p: p, tables=[verdicts])
     return out.select(PK, *[c for c in verdicts.columns if c != "hakai_id"])
 
 
@@ -180,7 +180,7 @@ def process_log_flags(spark, sf):
 def manual_qc_rows(spark, sf):
     manual = view(spark, sf, "manual_qc").drop("work_area")
     rows = layout.assign_qc_group(profiles(spark, sf)).select(PK, "hakai_id", "direction_flag", "depth")
-    out = layout.per_cast(rows, lambda p: run.attach_manual_qc(p, manual))
+    out = run.attach_manual_qc(rows, manual)
     return out.select(PK, *[c for c in out.columns if c.endswith("_manual_qc_flag")])
 
 
@@ -275,7 +275,7 @@ def upload_documents(spark, sf):
     original = profiles(spark, sf).columns
     rows = aggregate.finalize_flags(qced(spark, sf).select(*original))
     casts = selection.advance_stage(view(spark, sf, "casts"))
-    documents = files.flags_json(casts, rows)
+    documents = files.flags_json(casts, rows, sized=profiles(spark, sf))
     old = ["dissolved_oxygen_ml_l", "par", "temperature"]
     row = ", ".join(f"{v}_flag_level_1: string, {v}_flag: string" for v in old)
     parsed = F.from_json(

@@ -11,6 +11,7 @@ not depend on where the cuts are.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -91,13 +92,15 @@ def with_chunks(df: DataFrame, rows_per_chunk: int) -> DataFrame:
     every = max(1, rows_per_chunk // step)
     sample = df.filter(F.pmod(F.xxhash64(PK), F.lit(step)) == 0).select(*PROFILE, depth_key().alias("cut"))
     place = F.row_number().over(W.partitionBy(*PROFILE).orderBy("cut"))
-    cuts = (
+    found = (
         sample.withColumn("place", place)
         .filter(F.col("place") % every == 0)
         .groupBy(*PROFILE)
         .agg(F.sort_array(F.collect_list("cut")).alias("cuts"))
     )
-    # At most total / limit cuts exist overall, so this side is bounded like large_casts().
+    # One cut per rows_per_chunk rows, and that is at least total / MAX_LARGE_CASTS: the list is bounded.
+    # As a local table it is computed once, however often the plan below refers to it.
+    cuts = df.sparkSession.createDataFrame(found.collect(), found.schema)
     chunk = F.when(F.col("cuts").isNull(), F.lit(0)).otherwise(_rank(F.col("cuts"), depth_key()))
     return (
         df.join(F.broadcast(cuts), PROFILE, "left")
@@ -107,49 +110,81 @@ def with_chunks(df: DataFrame, rows_per_chunk: int) -> DataFrame:
 
 
 def per_cast(
-    df: DataFrame, fn: Callable[[DataFrame], DataFrame], max_rows: int | None = None, sized: DataFrame | None = None
+    df: DataFrame,
+    fn: Callable[[DataFrame], DataFrame],
+    max_rows: int | None = None,
+    sized: DataFrame | None = None,
+    tables: Sequence[DataFrame] = (),
 ) -> DataFrame:
     """Apply an operator that works on whole casts, cutting the large ones.
 
     ``sized``: the same rows with less work in their plan, for counting.
+    ``tables``: tables with one row per cast, left joined to the result. For ordinary casts this join
+    uses the partitioning that is there; for the cut ones the few matching rows are broadcast.
     """
     large = large_casts(df if sized is None else sized, max_rows)
+    merged = reduce(lambda a, b: a.join(b, CAST, "full"), tables) if tables else None
+    ids = None
+    ordinary = df
+    if large is not None:
+        ids, rows_per_chunk = large
+        ordinary = df.join(F.broadcast(ids), CAST, "left_anti")
+    out = fn(ordinary.repartition(CAST))
+    if merged is not None:
+        out = out.join(merged, CAST, "left")
     if large is None:
-        return fn(df.repartition(CAST))
-    ids, rows_per_chunk = large
-    ordinary = df.join(F.broadcast(ids), CAST, "left_anti").repartition(CAST)
+        return out
     cut = with_chunks(df.join(F.broadcast(ids), CAST, "left_semi"), rows_per_chunk)
-    cut = cut.repartition(CAST, DIRECTION, CHUNK)
-    return fn(ordinary).unionByName(fn(cut).drop(CHUNK))
+    cut = fn(cut.repartition(CAST, DIRECTION, CHUNK))
+    if merged is not None:
+        few = merged.join(F.broadcast(ids), CAST, "left_semi")  # at most MAX_LARGE_CASTS rows
+        cut = cut.join(F.broadcast(few), CAST, "left")
+    return out.unionByName(cut.drop(CHUNK))
 
 
 # ------------------------------------------------- whole groups and neighbours
+#
+# Each helper adds columns to ``df``. For cut casts it first builds a small table from ``source``: rows
+# with the same chunks and the columns in question but a shorter plan (``df`` itself by default). Steps
+# that follow each other share one source, so the plan grows by a constant per step.
 
 
 def _chunk(df: DataFrame) -> list[str]:
     return [CHUNK] if CHUNK in df.columns else []
 
 
-def attach(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join a table with unique ``keys``. Chunks keep the join spread out for large casts."""
-    keys = list(keys)
-    if not _chunk(df):
-        return df.join(table, keys, "left")
-    present = df.select(*keys, CHUNK).distinct().join(table, keys, "left")
-    return df.join(present, [*keys, CHUNK], "left")
-
+def totals(
+    df: DataFrame,
+    group: Sequence[str],
+    aggregates: dict[str, Column],
+    per_cast: dict[str, Column] | None = None,
+    source: DataFrame | None = None,
+) -> DataFrame:
+    """Add aggregates over each whole group; ``per_cast`` are aggregates of those over the cast.
 
-def totals(df: DataFrame, group: Sequence[str], aggregates: dict[str, Column]) -> DataFrame:
-    """Add aggregates over each whole group to its rows. Group columns must not be NULL when chunked."""
+    Group columns must not be NULL.
+    """
+    group, per_cast = list(group), per_cast or {}
     if not _chunk(df):
         w = W.partitionBy(*group)
-        return df.withColumns({name: agg.over(w) for name, agg in aggregates.items()})
-    full = df.groupBy(*group).agg(*[agg.alias(name) for name, agg in aggregates.items()])
-    return attach(df, full, group)
+        out = df.withColumns({name: agg.over(w) for name, agg in aggregates.items()})
+        return out.withColumns({name: agg.over(W.partitionBy(CAST)) for name, agg in per_cast.items()})
+    rows = df if source is None else source
+    full = rows.groupBy(*group).agg(*[agg.alias(name) for name, agg in aggregates.items()])
+    full = full.withColumns({name: agg.over(W.partitionBy(CAST)) for name, agg in per_cast.items()})
+    if set(group) <= set(PROFILE):
+        return df.join(F.broadcast(full), group, "left")  # at most three directions of MAX_LARGE_CASTS casts
+    present = rows.select(*group, CHUNK).distinct().join(full, group)
+    return df.join(present, [*group, CHUNK], "left")
 
 
 def neighbours(
-    df: DataFrame, fields: dict[str, Column], before: str | None, after: str | None, group: Sequence[str] = QC_GROUP
+    df: DataFrame,
+    fields: dict[str, Column],
+    before: str | None,
+    after: str | None,
+    group: Sequence[str] = QC_GROUP,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Add the fields of the row above (``before``) and below (``after``) in depth order as structs.
 
@@ -167,7 +202,7 @@ def neighbours(
         return out
     across = W.partitionBy(*group).orderBy(CHUNK)
     edges = (
-        df.groupBy(*group, CHUNK)
+        (df if source is None else source).groupBy(*group, CHUNK)
         .agg(F.min_by(record, depth_key()).alias("first"), F.max_by(record, depth_key()).alias("last"))
         .select(
             *group, CHUNK,
@@ -181,7 +216,9 @@ def neighbours(
     return out.drop("edge_before", "edge_after")
 
 
-def max_from_bottom(df: DataFrame, column: str, name: str, group: Sequence[str] = PROFILE) -> DataFrame:
+def max_from_bottom(
+    df: DataFrame, column: str, name: str, group: Sequence[str] = PROFILE, source: DataFrame | None = None
+) -> DataFrame:
     """Add the running maximum of a column from the deepest row up to the current one."""
     upward = [F.col(DEPTH).desc_nulls_last(), F.col(PK).desc()]
     w = W.partitionBy(*group, *_chunk(df)).orderBy(*upward).rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -195,7 +232,7 @@ def max_from_bottom(df: DataFrame, column: str, name: str, group: Sequence[str]
         .rowsBetween(W.unboundedPreceding, -1)
     )
     carried = (
-        df.groupBy(*group, CHUNK)
+        (df if source is None else source).groupBy(*group, CHUNK)
         .agg(F.max(column).alias("chunk_max"))
         .select(*group, CHUNK, F.max("chunk_max").over(deeper).alias("carried"))
     )

@@ -87,7 +87,9 @@ def density_inversion(df: DataFrame, density: str, limits: Inversion) -> DataFra
     return neighbour_tests(df, {}, {density: limits})
 
 
-def attenuated_signal(df: DataFrame, tests: Mapping[str, Attenuated]) -> DataFrame:
+def attenuated_signal(
+    df: DataFrame, tests: Mapping[str, Attenuated], source: DataFrame | None = None
+) -> DataFrame:
     """One verdict per profile from its spread; static rows have none (NULL)."""
     parts = {}
     for var, t in tests.items():
@@ -97,7 +99,7 @@ def attenuated_signal(df: DataFrame, tests: Mapping[str, Attenuated]) -> DataFra
             parts[f"qc_std_{var}"] = F.stddev_pop(var)
         else:
             raise ValueError(f"unknown check {t.check!r} for {var}")
-    out = layout.totals(df, PROFILE, parts)
+    out = layout.totals(df, PROFILE, parts, source=source)
     new = {}
     for var, t in tests.items():
         spread = (
@@ -119,22 +121,25 @@ def bottom_hit(df: DataFrame, flag: str = "sigma0_qartod_density_inversion_test"
     """FAIL below the deepest good row of every direction of a cast whose deepest row is an inversion."""
     code = F.col(flag)
     out = layout.totals(
-        df, PROFILE,
+        df,
+        PROFILE,
         {
             "qc_last": F.max_by(code, F.when(code.isNotNull(), layout.depth_key())),
             "qc_deepest_good": F.max(F.when(code == GOOD, F.col(DEPTH))),
         },
+        per_cast={"qc_hit": F.max(F.col("qc_last").isin(SUSPECT, FAIL))},
     )
-    out = layout.totals(out, [CAST], {"qc_hit": F.max(F.col("qc_last").isin(SUSPECT, FAIL))})
     below = F.col("qc_hit") & (F.col(DEPTH) > F.col("qc_deepest_good"))
     return out.withColumn("bottom_hit_test", F.when(below, FAIL).otherwise(GOOD)).drop(
         "qc_last", "qc_deepest_good", "qc_hit")
 
 
-def par_shadow(df: DataFrame, var: str = "par", min_par: float = 5.0) -> DataFrame:
+def par_shadow(
+    df: DataFrame, var: str = "par", min_par: float = 5.0, source: DataFrame | None = None
+) -> DataFrame:
     """SUSPECT where light is weaker than somewhere deeper; UNKNOWN for casts without the sensor."""
-    out = layout.max_from_bottom(df, var, "qc_deeper_max")
-    out = layout.totals(out, [CAST], {"qc_any": F.count(var)})
+    out = layout.max_from_bottom(df, var, "qc_deeper_max", source=source)
+    out = layout.totals(out, [CAST], {"qc_any": F.count(var)}, source=df if source is None else source)
     shaded = (F.col(var) < F.col("qc_deeper_max")) & (F.col("qc_deeper_max") > min_par)
     flag = F.when(F.col("qc_any") == 0, UNKNOWN).when(shaded, SUSPECT).otherwise(GOOD)
     return out.withColumn("par_shadow_test", flag).drop("qc_deeper_max", "qc_any")

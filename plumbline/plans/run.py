@@ -26,20 +26,10 @@ def unregister_test(name: str) -> None:
     _USER_TESTS.pop(name, None)
 
 
-def attach_cast_tables(df: DataFrame, *tables: DataFrame | None) -> DataFrame:
-    """Join tables with one row per cast; run inside ``layout.per_cast``."""
-    given = [t for t in tables if t is not None]
-    if not given:
-        return df
-    merged = given[0]
-    for t in given[1:]:
-        merged = merged.join(t, CAST, "full")
-    return layout.attach(df, merged, [CAST])
-
-
-def attach_manual_qc(df: DataFrame, manual_qc: DataFrame) -> DataFrame:
+def attach_manual_qc(df: DataFrame, manual_qc: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Codes of the manual review on every row of the cast; NULL for casts without a review."""
-    return attach_cast_tables(df, casttests.newest(casttests.manual_qc_codes(manual_qc), CAST))
+    codes = casttests.newest(casttests.manual_qc_codes(manual_qc), CAST)
+    return layout.per_cast(df, lambda part: part, max_rows, tables=[codes])
 
 
 def run_qc(
@@ -85,17 +75,18 @@ def run_qc(
             {v: t.inversion for v, t in tests.items() if t.inversion},
             time,
         )
-        out = profiletests.attenuated_signal(out, {v: t.attenuated for v, t in tests.items() if t.attenuated})
         if "sigma0" in tested:
             out = profiletests.bottom_hit(out)
+        out = profiletests.attenuated_signal(out, {v: t.attenuated for v, t in tests.items() if t.attenuated}, part)
         if "par" in tested:
-            out = profiletests.par_shadow(out, "par", cfg.par_shadow_min)
-        out = casttests.station_depth(out, cfg.station_depth)  # drops rows without a station
+            out = profiletests.par_shadow(out, "par", cfg.par_shadow_min, part)
+        out = casttests.station_depth(out, cfg.station_depth, source=part)  # drops rows without a station
         for fn in _USER_TESTS.values():
             out = fn(out)
-        return attach_cast_tables(out, *cast_tables)
+        return out
 
-    out = layout.per_cast(rows, whole_casts, max_rows, sized=grouped).drop(STATIC_TIME, "station_depth")
+    out = layout.per_cast(rows, whole_casts, max_rows, sized=grouped, tables=cast_tables)
+    out = out.drop(STATIC_TIME, "station_depth")
 
     # Row by row again, behind the last shuffle.
     sources = {v: aggregate.flag_sources(v, out.columns, cfg) for v in tested}

@@ -74,11 +74,14 @@ def write_snapshot(df: DataFrame, path: str, mode: str = "errorifexists") -> Non
     df.write.mode(mode).parquet(path)
 
 
-def flags_json(casts: DataFrame, qced: DataFrame, rows_per_document: int = 100_000) -> DataFrame:
+def flags_json(
+    casts: DataFrame, qced: DataFrame, rows_per_document: int = 100_000, sized: DataFrame | None = None
+) -> DataFrame:
     """Upload documents ``{cast: {...}, ctd_data: [{...}]}`` per cast.
 
     A cast with more than ``rows_per_document`` rows gives several documents, each with the cast header
     and a share of the rows; ``part`` numbers them. Together they hold every row exactly once.
+    ``sized``: rows of the same casts with less work in their plan, for counting.
     """
     from plumbline.operators.layout import large_casts
 
@@ -87,13 +90,14 @@ def flags_json(casts: DataFrame, qced: DataFrame, rows_per_document: int = 100_0
         if c == S.PK or (c.endswith(("_flag", "_flag_level_1")) and c not in S.NOT_UPLOADED)
     ]
     rows = qced.select(S.CAST, F.struct(*columns).alias("row"))
-    large = large_casts(rows, rows_per_document)
+    counted = rows if sized is None else sized
+    large = large_casts(counted, rows_per_document)
     if large is None:
         part = F.lit(0)
     else:
         ids, size = large
         counts = (
-            rows.join(F.broadcast(ids), S.CAST, "left_semi").groupBy(S.CAST)
+            counted.join(F.broadcast(ids), S.CAST, "left_semi").groupBy(S.CAST)
             .agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("parts")))
         rows = rows.join(F.broadcast(counts), S.CAST, "left")  # at most MAX_LARGE_CASTS rows
         part = F.pmod(F.xxhash64(f"row.{S.PK}"), F.coalesce(F.col("parts"), F.lit(1))).cast("int")
