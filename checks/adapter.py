@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plumbline.sources.files import utc
+from plumbline.sources.files import prepared
 
 # One cast per (supplier, return flag). Values are shaped so that every test reaches its branches.
 PROFILE_SQL = """
@@ -141,7 +141,7 @@ VIEWS = {
 
 def view(spark: SparkSession, sf_dir: str, name: str, source: DataFrame | None = None) -> DataFrame:
     """A view as a DataFrame; ``source`` replaces the table it reads (for streams and skewed tests)."""
-    utc(spark)
+    prepared(spark)
     table = "supplier" if "FROM supplier" in VIEWS[name] else "lineitem"
     sql = VIEWS[name].format(S="STRING")
     if name == "grey_list":

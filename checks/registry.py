@@ -81,7 +81,7 @@ def qc_groups(spark, sf):
 @query
 def to_utc(spark, sf):
     """ISO text with an offset, some of it unreadable, to UTC."""
-    orders = files.utc(spark).read.parquet(f"{sf}/orders.parquet")
+    orders = files.prepared(spark).read.parquet(f"{sf}/orders.parquet")
     text = F.when(F.col("o_orderkey") % 5 == 0, "not a time").otherwise(
         F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'+07:00'"))
     parsed = timecols.to_utc(orders.select("o_orderkey", text.alias("start_dt")), ["start_dt"])
@@ -399,7 +399,7 @@ def compare_stations(spark, sf):
 
 def _stream(spark, sf):
     """The measurement view over a file stream of its table."""
-    files.utc(spark)
+    files.prepared(spark)
     schema = spark.read.parquet(f"{sf}/lineitem.parquet").schema
     table = spark.readStream.schema(schema).parquet(f"{sf}/lineitem.parque[t]")  # a file source wants a folder or pattern
     return view(spark, sf, "ctd_profile", table)

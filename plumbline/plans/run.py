@@ -50,7 +50,7 @@ def run_qc(
     tested = [v for v in cfg.tested() if v in data.columns]
     tests = {v: cfg.variables[v] for v in tested}
 
-    # Row by row, still in the scan's stage.
+    # Row by row, in the scan's stage. Only the bad-value flags need the raw values.
     grouped = layout.assign_qc_group(data)
     rows = rowtests.null_sentinels(rowtests.bad_value(grouped, tested))
 
@@ -64,8 +64,6 @@ def run_qc(
     if manual_qc is not None:
         cast_tables.append(casttests.newest(casttests.manual_qc_codes(manual_qc), CAST))
 
-    rows = rowtests.gross_range(rows, {v: t.gross_range for v, t in tests.items() if t.gross_range})
-    rows = rowtests.query_flags(rows, cfg.query_rules)
     rows = lookup(rows, casttests.newest(stations.select("station", "station_depth"), "station"), ["station"])
 
     def whole_casts(part: DataFrame) -> DataFrame:
@@ -88,7 +86,9 @@ def run_qc(
     out = layout.per_cast(rows, whole_casts, max_rows, sized=grouped, tables=cast_tables)
     out = out.drop(STATIC_TIME, "station_depth")
 
-    # Row by row again, behind the last shuffle.
+    # Row by row again, behind the shuffle, so that these columns are neither moved nor sorted.
+    out = rowtests.gross_range(out, {v: t.gross_range for v, t in tests.items() if t.gross_range})
+    out = rowtests.query_flags(out, cfg.query_rules)
     sources = {v: aggregate.flag_sources(v, out.columns, cfg) for v in tested}
     out = aggregate.aggregate_flags(out, sources)
     if grey is not None:

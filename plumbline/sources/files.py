@@ -11,8 +11,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from plumbline import schema as S
 
 
-def utc(spark: SparkSession) -> SparkSession:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+# Rows here are wide. Past these limits one generated method would hold the work on all columns, and the
+# JVM never compiles a method of more than 8000 bytes; Spark's per-expression code is several times faster.
+SESSION_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.codegen.maxFields": "40",
+}
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the settings this library relies on."""
+    for key, value in SESSION_SETTINGS.items():
+        spark.conf.set(key, value)
     return spark
 
 
@@ -23,7 +34,7 @@ def no_nan(df: DataFrame) -> DataFrame:
 
 
 def _read(spark: SparkSession, path, fmt: str, schema: T.StructType) -> DataFrame:
-    return utc(spark).read.schema(schema).format(fmt).load(path)
+    return prepared(spark).read.schema(schema).format(fmt).load(path)
 
 
 def read_ctd_data(spark: SparkSession, path, fmt: str = "parquet", iso_text: bool | None = None) -> DataFrame:
@@ -56,7 +67,7 @@ def read_stations(spark: SparkSession, path, fmt: str = "parquet") -> DataFrame:
 
 def read_grey_list(spark: SparkSession, path) -> DataFrame:
     """Override rules with their line order as ``seq``; the rules must come from one file."""
-    rules = utc(spark).read.schema(S.grey_list_schema()).csv(path, header=True, escape='"')
+    rules = prepared(spark).read.schema(S.grey_list_schema()).csv(path, header=True, escape='"')
     return rules.withColumn("seq", F.monotonically_increasing_id())
 
 
