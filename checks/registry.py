@@ -168,7 +168,8 @@ def do_cap_rows(spark, sf):
 def station_depth(spark, sf):
     stations = casttests.newest(view(spark, sf, "stations"), "station")
     rows = lookup(clean(spark, sf), stations, ["station"])
-    return layout.per_cast(rows, casttests.station_depth).select(PK, "depth_in_station_range_test")
+    out = layout.per_cast(rows, casttests.station_depth, sized=layout.assign_qc_group(profiles(spark, sf)))
+    return out.select(PK, "depth_in_station_range_test")
 
 
 @query

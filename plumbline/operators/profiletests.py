@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from plumbline.config import Attenuated, Inversion
 from plumbline.operators import layout
 from plumbline.schema import (
-    CAST, DEPTH, DIRECTION, FAIL, GOOD, MEASURED_AT, MISSING, PROFILE, SUSPECT, UNKNOWN,
+    DEPTH, DIRECTION, FAIL, GOOD, MEASURED_AT, MISSING, PROFILE, SUSPECT, UNKNOWN,
 )
 
 # Choices where the published test definitions leave room.
@@ -87,26 +87,27 @@ def density_inversion(df: DataFrame, density: str, limits: Inversion) -> DataFra
     return neighbour_tests(df, {}, {density: limits})
 
 
-def attenuated_signal(
-    df: DataFrame, tests: Mapping[str, Attenuated], source: DataFrame | None = None
+def whole_profile_tests(
+    df: DataFrame,
+    attenuated: Mapping[str, Attenuated] | None = None,
+    inversion_flag: str | None = None,
+    count_per_cast: str | None = None,
 ) -> DataFrame:
-    """One verdict per profile from its spread; static rows have none (NULL)."""
-    parts = {}
-    for var, t in tests.items():
+    """Tests on totals of a profile, sharing one pass: attenuated signal and bottom hit.
+
+    ``count_per_cast`` also leaves the cast's number of values of that column as ``qc_any``.
+    """
+    attenuated = attenuated or {}
+    parts, per_cast, new = {}, {}, {}
+    for var, t in attenuated.items():
         if t.check == "range":
             parts |= {f"qc_max_{var}": F.max(var), f"qc_min_{var}": F.min(var)}
+            spread = F.col(f"qc_max_{var}") - F.col(f"qc_min_{var}")
         elif t.check == "std":
             parts[f"qc_std_{var}"] = F.stddev_pop(var)
+            spread = F.round(f"qc_std_{var}", STDDEV_DIGITS)
         else:
             raise ValueError(f"unknown check {t.check!r} for {var}")
-    out = layout.totals(df, PROFILE, parts, source=source)
-    new = {}
-    for var, t in tests.items():
-        spread = (
-            F.col(f"qc_max_{var}") - F.col(f"qc_min_{var}")
-            if t.check == "range"
-            else F.round(f"qc_std_{var}", STDDEV_DIGITS)
-        )
         flag = (
             F.when(F.col(var).isNull(), MISSING)
             .when(spread < t.fail, FAIL)
@@ -114,32 +115,37 @@ def attenuated_signal(
             .otherwise(GOOD)
         )
         new[f"{var}_qartod_attenuated_signal_test"] = F.when(F.col(DIRECTION) != "s", flag)
-    return out.withColumns(new).drop(*parts)
+    if inversion_flag:
+        code = F.col(inversion_flag)
+        parts["qc_last"] = F.max_by(code, F.when(code.isNotNull(), layout.depth_key()))
+        parts["qc_deepest_good"] = F.max(F.when(code == GOOD, F.col(DEPTH)))
+        per_cast["qc_hit"] = F.max(F.col("qc_last").isin(SUSPECT, FAIL))
+        below = F.col("qc_hit") & (F.col(DEPTH) > F.col("qc_deepest_good"))
+        new["bottom_hit_test"] = F.when(below, FAIL).otherwise(GOOD)
+    if count_per_cast:
+        parts["qc_n"] = F.count(count_per_cast)
+        per_cast["qc_any"] = F.max("qc_n")
+    out = layout.totals(df, PROFILE, parts, per_cast)
+    return out.withColumns(new).drop(*parts, "qc_hit")
+
+
+def attenuated_signal(df: DataFrame, tests: Mapping[str, Attenuated]) -> DataFrame:
+    """One verdict per profile from its spread; static rows have none (NULL)."""
+    return whole_profile_tests(df, attenuated=tests)
 
 
 def bottom_hit(df: DataFrame, flag: str = "sigma0_qartod_density_inversion_test") -> DataFrame:
     """FAIL below the deepest good row of every direction of a cast whose deepest row is an inversion."""
-    code = F.col(flag)
-    out = layout.totals(
-        df,
-        PROFILE,
-        {
-            "qc_last": F.max_by(code, F.when(code.isNotNull(), layout.depth_key())),
-            "qc_deepest_good": F.max(F.when(code == GOOD, F.col(DEPTH))),
-        },
-        per_cast={"qc_hit": F.max(F.col("qc_last").isin(SUSPECT, FAIL))},
-    )
-    below = F.col("qc_hit") & (F.col(DEPTH) > F.col("qc_deepest_good"))
-    return out.withColumn("bottom_hit_test", F.when(below, FAIL).otherwise(GOOD)).drop(
-        "qc_last", "qc_deepest_good", "qc_hit")
+    return whole_profile_tests(df, inversion_flag=flag)
 
 
 def par_shadow(
     df: DataFrame, var: str = "par", min_par: float = 5.0, source: DataFrame | None = None
 ) -> DataFrame:
     """SUSPECT where light is weaker than somewhere deeper; UNKNOWN for casts without the sensor."""
+    if "qc_any" not in df.columns:
+        df = whole_profile_tests(df, count_per_cast=var)
     out = layout.max_from_bottom(df, var, "qc_deeper_max", source=source)
-    out = layout.totals(out, [CAST], {"qc_any": F.count(var)}, source=df if source is None else source)
     shaded = (F.col(var) < F.col("qc_deeper_max")) & (F.col("qc_deeper_max") > min_par)
     flag = F.when(F.col("qc_any") == 0, UNKNOWN).when(shaded, SUSPECT).otherwise(GOOD)
     return out.withColumn("par_shadow_test", flag).drop("qc_deeper_max", "qc_any")

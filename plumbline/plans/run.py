@@ -73,9 +73,12 @@ def run_qc(
             {v: t.inversion for v, t in tests.items() if t.inversion},
             time,
         )
-        if "sigma0" in tested:
-            out = profiletests.bottom_hit(out)
-        out = profiletests.attenuated_signal(out, {v: t.attenuated for v, t in tests.items() if t.attenuated}, part)
+        out = profiletests.whole_profile_tests(
+            out,
+            {v: t.attenuated for v, t in tests.items() if t.attenuated},
+            "sigma0_qartod_density_inversion_test" if "sigma0" in tested else None,
+            "par" if "par" in tested else None,
+        )
         if "par" in tested:
             out = profiletests.par_shadow(out, "par", cfg.par_shadow_min, part)
         out = casttests.station_depth(out, cfg.station_depth, source=part)  # drops rows without a station

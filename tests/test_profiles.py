@@ -101,7 +101,7 @@ def actual(spark, data, max_rows):
     def tests(part):
         out = profiletests.neighbour_tests(part, {"sigma0": 0.01}, {"sigma0": Inversion(-0.005, -0.03)}, "t")
         out = profiletests.bottom_hit(out)
-        out = profiletests.attenuated_signal(out, {"sigma0": Attenuated(1.95, 0.5, "range")}, part)
+        out = profiletests.attenuated_signal(out, {"sigma0": Attenuated(1.95, 0.5, "range")})
         out = profiletests.par_shadow(out, source=part)
         return casttests.station_depth(out, StationDepth(7.0, 7.2, 30, 31), keep_unmatched=True, source=part)
 
