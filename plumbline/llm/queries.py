@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from plumbline.llm import packing, pfor
+from plumbline.llm import packing, pfor, secrets
 
-QUERIES = {f.__name__: f for f in (packing.op4_packing, pfor.op5_token_files)}
+QUERIES = {f.__name__: f for f in (packing.op4_packing, pfor.op5_token_files, secrets.op7_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
