@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from plumbline.llm import packing, pfor, secrets
+from plumbline.llm import minhash, packing, pfor, secretscan
 
-QUERIES = {f.__name__: f for f in (packing.op4_packing, pfor.op5_token_files, secrets.op7_secret_scan)}
+QUERIES = {f.__name__: f for f in (packing.op4_packing, pfor.op5_token_files, secretscan.op7_secret_scan,
+                                  minhash.op10_minmax_near_duplicates)}
 
 
 def oracle_sql() -> dict[str, str]:
