@@ -25,9 +25,10 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plumbline.llm.common import binary, new_path, saved, table, texts
+from plumbline.llm.common import binary, new_path, table, texts
 from plumbline.llm.tokens import encoder
 
 MAGIC = b"PFORIDS1"
@@ -144,47 +145,38 @@ class Shard:
 # ---------------------------------------------------------------- whole tables
 
 
-def encoded(documents: DataFrame, vocabulary: str, split: str | None, end_id: int) -> DataFrame:
-    """Ids of each document with the end id, written."""
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, end = encoder(vocabulary, split), np.uint32(end_id).tobytes()
-        for batch in batches:
-            ids = [own.encode(t) + end for t in texts(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), binary(ids)], ["doc_id", "ids"])
-
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return saved(rows.filter("doc_id IS NOT NULL").mapInArrow(encode, "doc_id long, ids binary"), "ids")
-
-
-def write(tokens: DataFrame, path: str, block: int = BLOCK, shard_ids: int = SHARD_IDS) -> None:
-    """Write shard files in ascending document order; folder names sort in that order."""
+def write(
+    documents: DataFrame, path: str, vocabulary: str, split: str | None, end_id: int = END_ID, block: int = BLOCK,
+    shard_ids: int = SHARD_IDS,
+) -> None:
+    """Encode texts and write shard files in ascending document order; folder names sort in that order."""
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
+        own, end = encoder(vocabulary, split), np.uint32(end_id).tobytes()
         part, count = TaskContext.get().partitionId(), 0
         docs: list[int] = []
-        found: list[np.ndarray] = []
+        found: list[bytes] = []
         size = 0
 
         def file() -> pa.RecordBatch:
             number = (part << 32) | count
-            content = encode_shard(number, docs, [len(x) for x in found], np.concatenate(found), block)
+            ids = np.frombuffer(b"".join(found), "<u4")
+            content = encode_shard(number, docs, [len(x) // 4 for x in found], ids, block)
             return pa.RecordBatch.from_arrays([pa.array([f"{number:016x}"]), binary([content])], ["shard", "value"])
 
         for batch in batches:
-            for doc, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
                 docs.append(doc)
-                found.append(np.frombuffer(ids.as_buffer(), "<u4"))
-                size += len(found[-1])
+                found.append(own.encode(text) + end)
+                size += len(found[-1]) // 4
                 if size >= shard_ids:
                     yield file()
                     docs, found, size, count = [], [], 0, count + 1
         if docs:
             yield file()
 
-    ordered = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    ordered = rows.filter("doc_id IS NOT NULL").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     files = ordered.mapInArrow(shards, "shard string, value binary")
     files.select("shard", F.col("value").cast("string").alias("value")).write.partitionBy("shard").text(path)
 
@@ -226,9 +218,9 @@ def token_files(
     """Encode, write the files below ``path`` and read them back.
 
     Defined cases: a null or empty text is the end id alone; rows without a document id have no place in the
-    order and are left out; rows with the same id are ordered by their ids; an empty table gives no file.
+    order and are left out; rows with the same id are ordered by their texts; an empty table gives no file.
     """
-    write(encoded(documents, vocabulary, split, end_id), path, block)
+    write(documents, path, vocabulary, split, end_id, block)
     return read(documents.sparkSession, path)
 
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from plumbline.llm import minhash, packing, pfor, secretscan
+from plumbline.llm import minhash, packing, pfor, quality, secretscan
 
 QUERIES = {f.__name__: f for f in (packing.op4_packing, pfor.op5_token_files, secretscan.op7_secret_scan,
-                                  minhash.op10_minmax_near_duplicates)}
+                                  minhash.op10_minmax_near_duplicates, quality.op1_quality)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -11,14 +11,15 @@ import os
 import re
 from array import array
 
-MAX_REMEMBERED = 800_000  # words per worker, some 150 bytes each; past it the memory starts anew
+MAX_REMEMBERED = 1_000_000  # words per worker, some 150 bytes each; past it the memory starts anew
 MAX_WORD = 48  # longer parts are encoded but not remembered
 
-_UNEQUAL = re.compile("[\x1c-\x1f]")  # white space for Python but not for the tokenizers: such texts stay whole
+_UNEQUAL = "\x1c\x1d\x1e\x1f"  # white space for Python but not for the tokenizers: such texts stay whole
 _BYTE_LEVEL = re.compile(r" ?\S+|\s+(?=\s\S)|\s+")
-# Latin letters, which composition leaves alone (the dotted capital I, which lower-cases to two, is left out),
-# and a mark after them: always one piece each.
-_PLAIN = re.compile("( ?)([A-Za-zÀ-ÖØ-öø-įı-ƺ]+)([.,!?;:]?)")
+# Blanks and line feeds between words are handled directly; these and runs of blanks are left to the pattern above.
+_OTHER_BLANKS = [c for c in map(chr, range(0x10000)) if c.isspace() and c not in " \n"] + ["  ", "\n\n", " \n", "\n "]
+# Latin letters, which composition leaves alone (the dotted capital I, which lower-cases to two, is left out).
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ƺ]+")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -31,23 +32,30 @@ def _byte_letters() -> dict[int, str]:
 class _Words(dict):
     """Ids by part of a text; a part that is missing is encoded by the library and remembered."""
 
-    def __init__(self, tokenizer, lower: bool):
-        self._tokenizer, self._model, self._lower = tokenizer, tokenizer.model, lower
+    def __init__(self, tokenizer, lower: bool, before: str = ""):
+        self._tokenizer, self._model, self._lower, self._before = tokenizer, tokenizer.model, lower, before
         self._letters = _byte_letters()
+        self._marks = {m: self._library(m) for m in ".,!?;:"}
+
+    def _library(self, part: str) -> bytes:
+        return array("I", self._tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, part: str) -> bytes:
-        plain = _PLAIN.fullmatch(part)
-        if plain:
-            blank, word, mark = plain.groups()
-            word = blank + (word.lower() if self._lower else word)
-            ids = self.get(word)
+        """``before``: the text before each part that belongs to it but is not in the key."""
+        mark = self._marks.get(part[-1:])  # letters and a mark after them are one piece each
+        word = part if mark is None else part[:-1]
+        if _LATIN.fullmatch(word):
+            if self._lower:
+                word = word.lower()
+            ids = None if word is part else self.get(word)
             if ids is None:
-                piece = word.encode().decode("latin-1").translate(self._letters)
+                piece = self._before + word
+                piece = piece.replace(" ", "Ġ") if piece.isascii() else piece.encode().decode("latin-1").translate(self._letters)
                 ids = array("I", [t.id for t in self._model.tokenize(piece)]).tobytes()
-            if mark:
-                ids += self[mark]
+            if mark is not None:
+                ids += mark
         else:
-            ids = array("I", self._tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
+            ids = self._library(self._before + part)
         if len(part) <= MAX_WORD:
             self[part] = ids
         return ids
@@ -67,19 +75,32 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._find = {"words": str.split, "byte_level": _BYTE_LEVEL.findall, None: None}[split]
+        self._split = split
         self._words = _Words(self._tokenizer, lower=split == "words")
+        self._later = _Words(self._tokenizer, lower=False, before=" ")
 
     def whole(self, text: str) -> bytes:
         return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids of a text, with no special ids added."""
-        if self._find is None or _UNEQUAL.search(text):
+        if self._split is None or any(c in text for c in _UNEQUAL):
             return self.whole(text)
-        if len(self._words) > MAX_REMEMBERED:
+        if len(self._words) + len(self._later) > MAX_REMEMBERED:
             self._words.clear()
-        return b"".join(map(self._words.__getitem__, self._find(text)))
+            self._later.clear()
+        first, later = self._words.__getitem__, self._later.__getitem__
+        if self._split == "words":
+            return b"".join(map(first, text.split()))
+        if text != text.strip() or any(c in text for c in _OTHER_BLANKS):
+            return b"".join(map(first, _BYTE_LEVEL.findall(text)))
+        ids = []
+        for line in text.split("\n"):
+            word, *words = line.split(" ")
+            ids.append(first(word))
+            ids += map(later, words)
+            ids.append(first("\n"))
+        return b"".join(ids[:-1])
 
 
 _ENCODERS: dict[tuple[str, str | None], Encoder] = {}
