@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from plumbline.llm import minhash, packing, pfor, quality, secretscan
+from plumbline.llm import minhash, packing, pfor, quality, secretscan, sentencespans, toxicity
 
 QUERIES = {f.__name__: f for f in (packing.op4_packing, pfor.op5_token_files, secretscan.op7_secret_scan,
-                                  minhash.op10_minmax_near_duplicates, quality.op1_quality)}
+                                  minhash.op10_minmax_near_duplicates, quality.op1_quality, toxicity.op9_toxicity,
+                                  sentencespans.op2_sentence_spans)}
 
 
 def oracle_sql() -> dict[str, str]:
