@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from plumbline.llm import minhash, packing, pfor, quality, secretscan, sentencespans, toxicity
+from plumbline.llm import (
+    minhash, mixing, multiindex, packing, pfor, quality, rabitq, secretscan, sentencespans, toxicity,
+)
 
-QUERIES = {f.__name__: f for f in (packing.op4_packing, pfor.op5_token_files, secretscan.op7_secret_scan,
-                                  minhash.op10_minmax_near_duplicates, quality.op1_quality, toxicity.op9_toxicity,
-                                  sentencespans.op2_sentence_spans)}
+QUERIES = {f.__name__: f for f in (
+    quality.op1_quality, sentencespans.op2_sentence_spans, multiindex.op3_code_search, packing.op4_packing,
+    pfor.op5_token_files, mixing.op6_target_mixture, secretscan.op7_secret_scan, rabitq.op8_rotation_codes,
+    toxicity.op9_toxicity, minhash.op10_minmax_near_duplicates,
+)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL where it can express the operator; the others are held against brute force in tests."""
+    return {"op3_code_search": multiindex.OP3_SQL}
