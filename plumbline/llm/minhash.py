@@ -4,11 +4,12 @@
 2. Each of the class's permutations gives two signature values, the smallest and the largest hash, so half
    as many permutations are evaluated. Bands of four values (two permutations) are the bucket keys.
 3. Every member of a bucket is compared with the bucket's smallest member only: a group of copies costs one
-   comparison for each member, however large. Where a bucket then still holds several components, its members
-   of different components are compared too, unless their known distances to the smallest member rule out a
-   link (Jaccard distance is a metric). So no link between components is left out and no group is expanded
-   into all pairs.
-4. Links are confirmed on the full sets, recomputed from the texts of the documents that need it; components
+   comparison for each member, however large.
+4. Where a bucket then still holds several components, its members are joined exactly: shingles are ordered from
+   rare to common, and two sets at the threshold must share one among the first few of each (a ninth of the
+   shorter, a fifth of the longer set), at places that leave enough behind. Documents that only share a long
+   passage have their own shingles first and do not meet. Members of one component are not compared.
+5. Links are confirmed on the full sets, recomputed from the texts of the documents that need it; components
    follow by contraction.
 
 A pair at the threshold 0.8 shares no band with a probability of (1 - 0.8**4)**24 = 3e-6.
@@ -136,6 +137,58 @@ def _may_link(a: str, b: str) -> F.Column:
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
+def across_components(documents: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """Pairs (a, b) of nodes (node, component) of different components that may link: a superset of those that do.
+
+    With t the threshold, x the shorter set of a pair that links and y the longer, the first shingle they share, in
+    any order common to all, is among the first |x| - ceil(2t/(1+t) |x|) + 1 of x and the first |y| - ceil(t |y|) + 1
+    of y, and at least t/(1+t) (|x| + |y|) shingles of either set are left from there on. Shingles that no other
+    set has come first and need not be written out. The component that holds a shingle most often is not joined
+    with itself.
+    """
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(words)
+        for batch in batches:
+            found = [shingler(t or b"").view(np.int64) for t in text_bytes(batch.column(1))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(x) for x in found], pa.int64()), pa.array(found, pa.list_(pa.int64()))],
+                ["node", "n", "shingles"])
+
+    rows = documents.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
+    own = saved(rows.join(nodes.select("node"), "node", "left_semi").mapInArrow(
+        sets, "node long, n long, shingles array<long>"), "open-sets")
+    # ``version`` tells the texts of an id that has several apart.
+    grams = own.select("node", "n", F.xxhash64("shingles").alias("version"), F.explode("shingles").alias("shingle"))
+    shared = grams.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
+    n = F.col("n")
+    probed = n - F.ceil(n * PERCENT / 100) + 1
+    indexed = n - F.ceil(n * (2 * PERCENT) / (100 + PERCENT)) + 1
+    first = (
+        grams.join(shared, "shingle")
+        .groupBy("node", "n", "version").agg(F.sort_array(F.collect_list(F.struct("sets", "shingle"))).alias("shared"))
+        .withColumn("alone", n - F.size("shared"))  # so many shingles come before the shared ones
+        .withColumn("shared", F.slice("shared", 1, F.greatest(probed - F.col("alone"), F.lit(0)).cast("int")))
+        .select("node", "n", "alone", F.posexplode("shared").alias("at", "gram"))
+        .select("node", "n", (F.col("alone") + F.col("at")).alias("place"), "gram.shingle")
+        .withColumn("indexed", F.col("place") < indexed).join(nodes, "node"))
+    first = saved(first, "prefixes")
+    most = (
+        first.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("rows")).groupBy("shingle")
+        .agg(F.max_by("component", "rows").alias("most"), F.count(F.lit(1)).alias("components"))
+        .filter("components > 1").select("shingle", "most"))
+    told = saved(first.join(most, "shingle").withColumn("main", F.col("component") == F.col("most")).drop("most"), "prefixes")
+    x, y = (told.select("shingle", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "place", "component", "main", "indexed")]) for s in "xy")
+    left = F.ceil((F.col("n_x") + F.col("n_y")) * PERCENT / (100 + PERCENT))
+    meets = (
+        (F.col("n_x") <= F.col("n_y")) & _may_link("n_x", "n_y") & (F.col("component_x") != F.col("component_y"))
+        & (F.col("n_x") - F.col("place_x") >= left) & (F.col("n_y") - F.col("place_y") >= left))
+    x = x.filter("indexed_x")
+    pairs = x.join(y.filter("NOT main_y"), "shingle").filter(meets).unionByName(
+        x.filter("NOT main_x").join(y.filter("main_y"), "shingle").filter(meets))
+    return pairs.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
+
+
 def near_duplicates(documents: DataFrame, words: int = WORDS) -> DataFrame:
     """Per row of ``documents``: doc_id, n_shingles, component_id (smallest doc_id reachable), kept."""
     signed = signatures(documents, words)
@@ -154,23 +207,11 @@ def near_duplicates(documents: DataFrame, words: int = WORDS) -> DataFrame:
     links = near.filter(_linked()).select("a", "b")
     found = components(links)
 
-    # Buckets that still hold several components: members of different ones, unless the center rules them out.
+    # Members of buckets that still hold several components.
     placed = buckets.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).filter("c <> d").select("key")
-    distance = near.groupBy(F.col("a").alias("center"), F.col("b").alias("node")).agg(
-        F.min(1 - F.col("both") / F.col("either")).alias("distance"))
-    open_rows = saved(
-        placed.join(mixed, "key").join(distance, ["center", "node"], "left")
-        .withColumn("distance", F.when(F.col("node") == F.col("center"), 0.0).otherwise(F.col("distance")))
-        .select("key", "node", "n", "component", "distance", "center"), "open")
-    left, right = (open_rows.select("key", "center", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "component", "distance")]) for s in "ab")
-    reach = 1 - PERCENT / 100 + 1e-9
-    pairs = left.join(right.drop("center"), "key").filter(
-        (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
-        & (F.col("node_a") != F.col("center")) & _may_link("n_a", "n_b")
-        & F.coalesce(F.abs(F.col("distance_a") - F.col("distance_b")) <= reach, F.lit(True)))
-    more = similarities(
-        pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), documents, words).filter(_linked())
+    open_nodes = saved(placed.join(mixed, "key").select("node", "component").distinct(), "open")
+    more = similarities(across_components(documents, open_nodes, words), documents, words).filter(_linked())
     if not more.isEmpty():
         joined = links.unionByName(more.select("a", "b"))
         found = components(joined)

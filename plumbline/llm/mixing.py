@@ -101,18 +101,18 @@ def probabilities(cells: DataFrame, targets: dict[str, dict[str, float]], budget
     rows = [
         (names[0][i], names[1][j], names[2][k], float(factors[i, j, k]), float(min(1.0, chance[i, j, k])))
         for i, j, k in np.ndindex(*sums.shape)]
-    return spark.createDataFrame(rows, "__source string, __lang string, __kind string, weight double, probability double")
+    return spark.createDataFrame(rows, "__source string, __lang string, __kind string, __weight double, __probability double")
 
 
 def drawn() -> Column:
-    """Whether a document is drawn with its ``probability``."""
+    """Whether a document is drawn with its probability."""
     key = F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.col("doc_id"), F.lit(SEED))).otherwise(
         F.xxhash64(F.col("text"), F.lit(SEED)))
-    return F.shiftrightunsigned(key, 11) < F.col("probability") * float(1 << 53)
+    return F.shiftrightunsigned(key, 11) < F.col("__probability") * float(1 << 53)
 
 
 def mixed(documents: DataFrame, targets: dict[str, dict[str, float]] = TARGETS, budget: float | None = None) -> DataFrame:
-    """The documents with topic, tokens, weight, probability and whether each is drawn."""
+    """The documents with ``__topic``, ``__tokens``, ``__weight``, ``__probability`` and ``__drawn``."""
     rows = described(documents, targets)
     cells = saved(rows.groupBy("__source", "__lang", "__kind").agg(F.sum("__tokens").alias("total")), "cells")
     chances = F.broadcast(probabilities(cells, targets, budget))  # as many rows as target categories combine
@@ -121,5 +121,5 @@ def mixed(documents: DataFrame, targets: dict[str, dict[str, float]] = TARGETS,
 
 def op6_target_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).select(
-        "doc_id", "source", "lang", F.col("__topic").alias("topic"), F.col("__tokens").alias("tokens"), "weight",
-        "probability", F.col("__drawn").alias("sampled"))
+        "doc_id", "source", "lang", F.col("__topic").alias("topic"), F.col("__tokens").alias("tokens"),
+        F.col("__weight").alias("weight"), F.col("__probability").alias("probability"), F.col("__drawn").alias("sampled"))
