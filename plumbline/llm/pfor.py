@@ -26,7 +26,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plumbline.llm.common import binary, new_path, table, texts
 from plumbline.llm.tokens import encoder
@@ -34,7 +34,7 @@ from plumbline.llm.tokens import encoder
 MAGIC = b"PFORIDS1"
 BLOCK = 1024  # ids per block, a multiple of 64
 PERCENTILE = 0.95  # share of a block's ids that fit its width
-SHARD_IDS = 4_000_000  # a shard ends with the document that reaches this many ids
+SHARD_IDS = 1_000_000  # a shard ends with the document that reaches this many ids
 END_ID = 2
 
 _HEADER = "<8s5Q"
@@ -145,6 +145,20 @@ class Shard:
 # ---------------------------------------------------------------- whole tables
 
 
+def ranges(ids: DataFrame) -> tuple[int, Column]:
+    """Number of ranges of about equal numbers of ids, and the range of a row, from a pass over the ids alone.
+
+    Spark's own range partitioning would read all texts once more for its sample.
+    """
+    parts = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = [i / parts for i in range(1, parts)]
+    cuts = ids.agg(F.percentile_approx("doc_id", shares, 100 * parts).alias("cuts")).first()["cuts"] if shares else None
+    if not cuts:
+        return 1, F.lit(0)
+    above = F.filter(F.expr(f"array({', '.join(f'{c}L' for c in cuts)})"), lambda c: c < F.col("doc_id"))
+    return parts, F.size(above)
+
+
 def write(
     documents: DataFrame, path: str, vocabulary: str, split: str | None, end_id: int = END_ID, block: int = BLOCK,
     shard_ids: int = SHARD_IDS,
@@ -176,7 +190,9 @@ def write(
             yield file()
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = rows.filter("doc_id IS NOT NULL").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    rows = rows.filter("doc_id IS NOT NULL")
+    parts, place = ranges(rows.select("doc_id"))
+    ordered = rows.repartitionById(parts, place).sortWithinPartitions("doc_id", "text")
     files = ordered.mapInArrow(shards, "shard string, value binary")
     files.select("shard", F.col("value").cast("string").alias("value")).write.partitionBy("shard").text(path)
 

@@ -11,7 +11,7 @@ import os
 import re
 from array import array
 
-MAX_REMEMBERED = 1_000_000  # words per worker, some 150 bytes each; past it the memory starts anew
+MAX_REMEMBERED = 1_200_000  # words per worker, some 150 bytes each; past it the memory starts anew
 MAX_WORD = 48  # longer parts are encoded but not remembered
 
 _UNEQUAL = "\x1c\x1d\x1e\x1f"  # white space for Python but not for the tokenizers: such texts stay whole
@@ -35,6 +35,7 @@ class _Words(dict):
     def __init__(self, tokenizer, lower: bool, before: str = ""):
         self._tokenizer, self._model, self._lower, self._before = tokenizer, tokenizer.model, lower, before
         self._letters = _byte_letters()
+        self._first = before.translate(self._letters)
         self._marks = {m: self._library(m) for m in ".,!?;:"}
 
     def _library(self, part: str) -> bytes:
@@ -44,13 +45,13 @@ class _Words(dict):
         """``before``: the text before each part that belongs to it but is not in the key."""
         mark = self._marks.get(part[-1:])  # letters and a mark after them are one piece each
         word = part if mark is None else part[:-1]
-        if _LATIN.fullmatch(word):
+        ascii = word.isascii() and word.isalpha()
+        if ascii or _LATIN.fullmatch(word):
             if self._lower:
                 word = word.lower()
             ids = None if word is part else self.get(word)
             if ids is None:
-                piece = self._before + word
-                piece = piece.replace(" ", "Ġ") if piece.isascii() else piece.encode().decode("latin-1").translate(self._letters)
+                piece = self._first + (word if ascii else word.encode().decode("latin-1").translate(self._letters))
                 ids = array("I", [t.id for t in self._model.tokenize(piece)]).tobytes()
             if mark is not None:
                 ids += mark
