@@ -166,7 +166,7 @@ def do_cap_rows(spark, sf):
 
 @query
 def station_depth(spark, sf):
-    stations = casttests.newest(view(spark, sf, "stations"), "station")
+    stations = casttests.deepest(view(spark, sf, "stations"))
     rows = lookup(clean(spark, sf), stations, ["station"])
     out = layout.per_cast(rows, casttests.station_depth, sized=layout.assign_qc_group(profiles(spark, sf)))
     return out.select(PK, "depth_in_station_range_test")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.sql import DataFrame
+
 
 @dataclass(frozen=True)
 class GrossRange:
@@ -133,6 +136,10 @@ class QCConfig:
     aggregation_extra: dict[str, tuple[str, ...]] = field(default_factory=lambda: AGGREGATION_EXTRA)
     include_par_shadow: bool = False  # let par_shadow_test feed par
     bad_value_text: bool = False  # also name the bad-value test in the text flag
+    # Tests of your own: functions that add a column to rows laid out by ``layout.per_cast``, where a large cast is
+    # cut into chunks, so whole-group work goes through the helpers of ``layout``. A column named
+    # ``{var}_hakai_...`` or ``{var}_qartod_...`` feeds that variable's flags.
+    user_tests: tuple[Callable[[DataFrame], DataFrame], ...] = ()
 
     def tested(self) -> list[str]:
         return list(self.variables)

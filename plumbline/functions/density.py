@@ -2,8 +2,7 @@
 
 Conservative temperature goes over the potential temperature as in the published algorithm; density and
 sigma0 use the 75-term polynomial of Roquet et al. (2015). Absolute salinity is the reference-composition
-value (35.16504 / 35) * S_P. The regional correction needs an atlas: ``salinity="atlas"`` calls the public
-``gsw`` package through a pandas UDF where that is installed.
+value (35.16504 / 35) * S_P; the regional correction needs an atlas and is not applied.
 """
 
 from __future__ import annotations
@@ -153,36 +152,13 @@ def _with_conservative_temperature(df: DataFrame, sa: str, t: str, p: str, out:
     return df.drop("qc_x", "qc_true", "qc_pt", "qc_rate", "qc_miss", "qc_mid")
 
 
-def _atlas_salinity(sp: Column, p: Column, lon: Column, lat: Column) -> Column:
-    import pandas as pd
-
-    try:
-        import gsw  # noqa: F401
-    except ImportError as e:
-        raise ImportError('salinity="atlas" needs the gsw package on driver and executors') from e
-
-    @F.pandas_udf("double")
-    def from_practical(sp: pd.Series, p: pd.Series, lon: pd.Series, lat: pd.Series) -> pd.Series:
-        import gsw
-
-        return pd.Series(gsw.SA_from_SP(sp, p, lon, lat))
-
-    return F.nanvl(from_practical(sp, p, lon, lat), F.lit(None))
-
-
-def derive_density(df: DataFrame, salinity: str = "reference") -> DataFrame:
+def derive_density(df: DataFrame) -> DataFrame:
     """Add ``absolute salinity``, ``conservative temperature``, ``density`` and ``sigma0``.
 
     Vendor-marked values count as missing; any missing input gives NULL.
     """
     sp, t, p = (without_bad_values(F.col(c)) for c in ("salinity", "temperature", "pressure"))
-    if salinity == "reference":
-        sa = sp * SALINITY_FACTOR
-    elif salinity == "atlas":
-        lon, lat = F.coalesce("station_longitude", "longitude"), F.coalesce("station_latitude", "latitude")
-        sa = _atlas_salinity(sp, p, lon, lat)
-    else:
-        raise ValueError(f"unknown salinity method {salinity!r}")
+    sa = sp * SALINITY_FACTOR
     out = df.withColumns({"absolute salinity": F.when(p.isNotNull(), sa), "qc_t": t, "qc_p": p})
     out = _with_conservative_temperature(out, "absolute salinity", "qc_t", "qc_p", "conservative temperature")
     SA, CT = F.col("absolute salinity"), F.col("conservative temperature")

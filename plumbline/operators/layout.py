@@ -2,25 +2,23 @@
 
 Ordinary casts: one shuffle on the cast id, then plain windows, which all share it.
 
-A cast may also hold a large part of the table. ``per_cast`` counts rows per cast once; the few casts
-above the limit are cut into depth-ordered chunks of bounded size and every helper below combines
-the chunks through small per-chunk tables. No task ever holds a whole large cast and the result does
-not depend on where the cuts are.
+A cast may also hold a large part of the table. ``per_cast`` counts rows per cast once; the casts above a
+fixed limit are cut into depth-ordered chunks of about that size, whatever the table holds besides, and
+every helper below combines the chunks through small per-chunk tables. No task ever holds a whole large
+cast and the result does not depend on where the cuts are. Ids and cuts are tables, never lists on the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from plumbline.operators.lookups import written
 from plumbline.schema import CAST, CHUNK, DEPTH, DIRECTION, MEASURED_AT, PK, PROFILE, QC_GROUP, STATIC_TIME
 
-MAX_ROWS_PER_CAST = 1_000_000  # casts up to this size stay whole
-MAX_LARGE_CASTS = 10_000  # bound on the number of casts that are cut, whatever the table size
+MAX_ROWS_PER_CAST = 1_000_000  # casts up to this size stay whole; a chunk of a larger one holds about so many rows
 _SAMPLES_PER_CHUNK = 64
-_SEARCH_STEPS = 16  # 2**16 exceeds the largest possible number of cuts of one profile
 
 
 def assign_qc_group(df: DataFrame) -> DataFrame:
@@ -47,22 +45,15 @@ def depth_order() -> list[Column]:
 # ---------------------------------------------------------------- large casts
 
 
-def large_casts(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, int] | None:
-    """Casts too large to stay whole, and the chunk size for them; None when there are none.
+def large_casts(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
+    """Ids of the casts with more than ``max_rows`` rows; None when there are none.
 
-    One narrow aggregate over the key column. The limit never falls below total / MAX_LARGE_CASTS,
-    so fewer than MAX_LARGE_CASTS ids can come back to the driver.
+    One narrow aggregate over the key column; the driver only learns whether there is such a cast.
     """
-    max_rows = max_rows or MAX_ROWS_PER_CAST
-    sizes = df.groupBy(CAST).agg(F.count(F.lit(1)).alias("n"))
-    top = sizes.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
-    if top["largest"] is None or top["largest"] <= max_rows:
-        return None
-    limit = max(max_rows, top["total"] // MAX_LARGE_CASTS)
-    ids = [(r[CAST],) for r in sizes.filter(F.col("n") > limit).select(CAST).collect()]
-    if not ids:
-        return None
-    return df.sparkSession.createDataFrame(ids, f"{CAST} string"), limit
+    limit = max_rows or MAX_ROWS_PER_CAST
+    large = df.groupBy(CAST).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit).select(CAST)
+    large = written(large, "large-casts")
+    return None if large.isEmpty() else large
 
 
 def _rank(cuts: Column, key: Column) -> Column:
@@ -78,8 +69,10 @@ def _rank(cuts: Column, key: Column) -> Column:
             ).otherwise(F.struct(lo.alias("lo"), mid.alias("hi"))),
         ).otherwise(s)
 
-    start = F.struct(F.lit(0).alias("lo"), F.coalesce(F.size(cuts), F.lit(0)).alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(_SEARCH_STEPS)), start, step, lambda s: s["lo"])
+    n = F.coalesce(F.size(cuts), F.lit(0))
+    start = F.struct(F.lit(0).alias("lo"), n.alias("hi"))
+    steps = F.ceil(F.log2(n + F.lit(1))).cast("int") + 1  # enough halvings for so many cuts
+    return F.aggregate(F.sequence(F.lit(1), steps), start, step, lambda s: s["lo"])
 
 
 def with_chunks(df: DataFrame, rows_per_chunk: int) -> DataFrame:
@@ -92,18 +85,14 @@ def with_chunks(df: DataFrame, rows_per_chunk: int) -> DataFrame:
     every = max(1, rows_per_chunk // step)
     sample = df.filter(F.pmod(F.xxhash64(PK), F.lit(step)) == 0).select(*PROFILE, depth_key().alias("cut"))
     place = F.row_number().over(W.partitionBy(*PROFILE).orderBy("cut"))
-    found = (
+    cuts = written(
         sample.withColumn("place", place)
         .filter(F.col("place") % every == 0)
         .groupBy(*PROFILE)
-        .agg(F.sort_array(F.collect_list("cut")).alias("cuts"))
-    )
-    # One cut per rows_per_chunk rows, and that is at least total / MAX_LARGE_CASTS: the list is bounded.
-    # As a local table it is computed once, however often the plan below refers to it.
-    cuts = df.sparkSession.createDataFrame(found.collect(), found.schema)
+        .agg(F.sort_array(F.collect_list("cut")).alias("cuts")), "cuts")
     chunk = F.when(F.col("cuts").isNull(), F.lit(0)).otherwise(_rank(F.col("cuts"), depth_key()))
     return (
-        df.join(F.broadcast(cuts), PROFILE, "left")
+        df.join(cuts, PROFILE, "left")  # a few profiles: broadcast or split at run time, by their real size
         .withColumn(CHUNK, chunk * 2 + F.col(DEPTH).isNull().cast("int"))
         .drop("cuts")
     )
@@ -120,25 +109,19 @@ def per_cast(
 
     ``sized``: the same rows with less work in their plan, for counting.
     ``tables``: tables with one row per cast, left joined to the result. For ordinary casts this join
-    uses the partitioning that is there; for the cut ones the few matching rows are broadcast.
+    uses the partitioning that is there; of the cut ones only the few matching rows take part.
     """
-    large = large_casts(df if sized is None else sized, max_rows)
-    merged = reduce(lambda a, b: a.join(b, CAST, "full"), tables) if tables else None
-    ids = None
-    ordinary = df
-    if large is not None:
-        ids, rows_per_chunk = large
-        ordinary = df.join(F.broadcast(ids), CAST, "left_anti")
+    ids = large_casts(df if sized is None else sized, max_rows)
+    ordinary = df if ids is None else df.join(ids, CAST, "left_anti")
     out = fn(ordinary.repartition(CAST))
-    if merged is not None:
-        out = out.join(merged, CAST, "left")
-    if large is None:
+    for table in tables:  # left joins keep the partitioning by cast
+        out = out.join(table, CAST, "left")
+    if ids is None:
         return out
-    cut = with_chunks(df.join(F.broadcast(ids), CAST, "left_semi"), rows_per_chunk)
+    cut = with_chunks(df.join(ids, CAST, "left_semi"), max_rows or MAX_ROWS_PER_CAST)
     cut = fn(cut.repartition(CAST, DIRECTION, CHUNK))
-    if merged is not None:
-        few = merged.join(F.broadcast(ids), CAST, "left_semi")  # at most MAX_LARGE_CASTS rows
-        cut = cut.join(F.broadcast(few), CAST, "left")
+    for table in tables:
+        cut = cut.join(table.join(ids, CAST, "left_semi"), CAST, "left")
     return out.unionByName(cut.drop(CHUNK))
 
 
@@ -173,7 +156,7 @@ def totals(
     full = rows.groupBy(*group).agg(*[agg.alias(name) for name, agg in aggregates.items()])
     full = full.withColumns({name: agg.over(W.partitionBy(CAST)) for name, agg in per_cast.items()})
     if set(group) <= set(PROFILE):
-        return df.join(F.broadcast(full), group, "left")  # at most three directions of MAX_LARGE_CASTS casts
+        return df.join(full, group, "left")
     present = rows.select(*group, CHUNK).distinct().join(full, group)
     return df.join(present, [*group, CHUNK], "left")
 

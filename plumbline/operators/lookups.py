@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
 from plumbline.schema import PK
+from plumbline.sources.files import shared_folder
 
 BROADCAST_ROWS = 100_000
 SALTS = 32
 
 
+def written(table: DataFrame, name: str) -> DataFrame:
+    """Write a small table that several steps use to the shared folder and read it back: it is computed once."""
+    path = f"{shared_folder(table.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
 def is_small(table: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether a table has at most ``rows`` rows; reads no more than one row beyond that."""
     return table.limit(rows + 1).count() <= rows
@@ -19,15 +28,15 @@ def is_small(table: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
 
 def lookup(
     df: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left", rows: int = BROADCAST_ROWS,
-    spread_by: str = PK,
+    spread_by: str = PK, small: bool | None = None,
 ) -> DataFrame:
     """Join a table with unique keys: broadcast when it is small, else shuffled.
 
     In the shuffled form each key is spread over SALTS partitions, since one station or device may
-    hold a large part of the rows.
+    hold a large part of the rows. ``small`` says so where the rows of the table do not tell its size.
     """
     keys = list(keys)
-    if is_small(table, rows):
+    if is_small(table, rows) if small is None else small:
         return df.join(F.broadcast(table), keys, how)
     salted = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return (

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 
 from plumbline.config import QCConfig
@@ -11,24 +9,9 @@ from plumbline.operators import aggregate, casttests, greylist, layout, profilet
 from plumbline.operators.lookups import lookup
 from plumbline.schema import CAST, MEASURED_AT, STATIC_TIME
 
-_USER_TESTS: dict[str, Callable[[DataFrame], DataFrame]] = {}
-
-
-def register_test(name: str, fn: Callable[[DataFrame], DataFrame]) -> None:
-    """Add a test of your own: ``fn`` adds column ``name`` to the rows of whole casts.
-
-    Named ``{var}_hakai_...`` or ``{var}_qartod_...`` the column feeds that variable's flags.
-    """
-    _USER_TESTS[name] = fn
-
-
-def unregister_test(name: str) -> None:
-    _USER_TESTS.pop(name, None)
-
-
 def attach_manual_qc(df: DataFrame, manual_qc: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Codes of the manual review on every row of the cast; NULL for casts without a review."""
-    codes = casttests.newest(casttests.manual_qc_codes(manual_qc), CAST)
+    codes = casttests.folded(casttests.manual_qc_codes(manual_qc), CAST)
     return layout.per_cast(df, lambda part: part, max_rows, tables=[codes])
 
 
@@ -59,12 +42,12 @@ def run_qc(
     if any(v in tested for v in cfg.do_cap.variables):
         cast_tables.append(casttests.do_cap(rows, cfg.do_cap))
     if metadata is not None:
-        logs = casttests.newest(metadata.select(CAST, "cast_type", "process_log"), CAST)
-        cast_tables.append(casttests.process_log_flags(logs))
+        # Every log row of a cast counts, so flags come before the fold.
+        cast_tables.append(casttests.folded(casttests.process_log_flags(metadata), CAST))
     if manual_qc is not None:
-        cast_tables.append(casttests.newest(casttests.manual_qc_codes(manual_qc), CAST))
+        cast_tables.append(casttests.folded(casttests.manual_qc_codes(manual_qc), CAST))
 
-    rows = lookup(rows, casttests.newest(stations.select("station", "station_depth"), "station"), ["station"])
+    rows = lookup(rows, casttests.deepest(stations), ["station"])
 
     def whole_casts(part: DataFrame) -> DataFrame:
         out = profiletests.neighbour_tests(
@@ -82,7 +65,7 @@ def run_qc(
         if "par" in tested:
             out = profiletests.par_shadow(out, "par", cfg.par_shadow_min, part)
         out = casttests.station_depth(out, cfg.station_depth, source=part)  # drops rows without a station
-        for fn in _USER_TESTS.values():
+        for fn in cfg.user_tests:
             out = fn(out)
         return out
 

@@ -91,27 +91,20 @@ def flags_json(
     """Upload documents ``{cast: {...}, ctd_data: [{...}]}`` per cast.
 
     A cast with more than ``rows_per_document`` rows gives several documents, each with the cast header
-    and a share of the rows; ``part`` numbers them. Together they hold every row exactly once.
+    and a share of the rows; ``part`` numbers them. Together they hold every row exactly once. The number of
+    parts follows from the cast's own rows only, so its documents are the same whatever else is in the run.
     ``sized``: rows of the same casts with less work in their plan, for counting.
     """
-    from plumbline.operators.layout import large_casts
-
     columns = [
         c for c in qced.columns
         if c == S.PK or (c.endswith(("_flag", "_flag_level_1")) and c not in S.NOT_UPLOADED)
     ]
     rows = qced.select(S.CAST, F.struct(*columns).alias("row"))
-    counted = rows if sized is None else sized
-    large = large_casts(counted, rows_per_document)
-    if large is None:
-        part = F.lit(0)
-    else:
-        ids, size = large
-        counts = (
-            counted.join(F.broadcast(ids), S.CAST, "left_semi").groupBy(S.CAST)
-            .agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("parts")))
-        rows = rows.join(F.broadcast(counts), S.CAST, "left")  # at most MAX_LARGE_CASTS rows
-        part = F.pmod(F.xxhash64(f"row.{S.PK}"), F.coalesce(F.col("parts"), F.lit(1))).cast("int")
+    counted = qced if sized is None else sized
+    counts = counted.groupBy(S.CAST).agg(F.ceil(F.count(F.lit(1)) / rows_per_document).cast("int").alias("parts"))
+    several = counts.filter("parts > 1")
+    rows = rows.join(several, S.CAST, "left")
+    part = F.pmod(F.xxhash64(f"row.{S.PK}"), F.coalesce(F.col("parts"), F.lit(1))).cast("int")
     documents = (
         rows.withColumn("part", part)
         .groupBy(S.CAST, "part")

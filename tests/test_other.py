@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline import schema as S
+from plumbline.config import QCConfig
 from plumbline.functions import density
 from plumbline.operators import casttests, greylist, lookups, timecols
 from plumbline.plans import reports, run, selection
@@ -16,7 +17,7 @@ def folder(tmp_path):
     return str(tmp_path / uuid.uuid4().hex)
 
 
-def test_schema_has_all_columns():
+def test_schema_has_all_columns(spark):
     assert len(S.ctd_data_schema()) == 90 and len(S.casts_schema()) == 13 and len(S.manual_qc_schema()) == 17
 
 
@@ -103,9 +104,51 @@ def test_median_matches_sorting(spark):
     assert got == {g: sorted(v)[(len(v) + 1) // 2 - 1] for g, v in want.items()}
 
 
-def test_newest_keeps_one_row_per_key(spark):
-    df = spark.createDataFrame([("a", 1, None), ("a", 2, "x"), ("b", 5, "y")], "k string, n int, s string")
-    assert sorted(map(tuple, casttests.newest(df, "k", "n").collect())) == [("a", 2, "x"), ("b", 5, "y")]
+def test_side_tables_fold_to_one_row_per_key(spark):
+    codes = spark.createDataFrame([("a", 4, None), ("a", 9, 1), ("b", 2, 9), ("b", 1, 2), ("c", None, None)], "k string, n int, m int")
+    assert sorted(map(tuple, casttests.folded(codes, "k").collect())) == [("a", 4, 1), ("b", 1, 2), ("c", None, None)]
+    reviews = spark.createDataFrame([("x", "SVD"), ("x", "MV"), ("y", "AV")], "hakai_id string, par_flag string")
+    folded = casttests.folded(casttests.manual_qc_codes(reviews), "hakai_id")
+    assert {r.hakai_id: r.par_manual_qc_flag for r in folded.collect()} == {"x": 4, "y": 1}
+    logs = spark.createDataFrame(
+        [("x", None, "WARNING! NO SOAK DETECTED, SUSPICIOUS DATA QUALITY"), ("x", None, "ok, zzz"), ("y", None, None)],
+        "hakai_id string, cast_type string, process_log string")
+    folded = casttests.folded(casttests.process_log_flags(logs), "hakai_id")
+    assert {r.hakai_id: r.salinity_hakai_no_soak_test for r in folded.collect()} == {"x": 3, "y": None}
+    stations = spark.createDataFrame([("s", 5.0), ("s", 9.0), ("s", None), ("t", None)], "station string, station_depth double")
+    assert dict(map(tuple, casttests.deepest(stations).collect())) == {"s": 9.0, "t": None}
+
+
+def test_do_cap_without_a_column_is_missing(spark):
+    rows = spark.createDataFrame([("c", "d", 1.0, 5.0), ("c", "u", 1.0, 5.1)], "hakai_id string, direction_flag string, depth double, dissolved_oxygen_ml_l double")
+    got = casttests.do_cap(rows).first().asDict()
+    assert got["rinko_do_ml_l_hakai_do_cap_test"] == 9 and got["dissolved_oxygen_ml_l_hakai_do_cap_test"] != 9
+
+
+def test_documents_of_a_cast_do_not_depend_on_the_others(spark):
+    def documents(n_others):
+        rows = spark.range(400 + n_others).selectExpr("id as ctd_data_pk", "if(id < 400, 'c', concat('o', id % 3)) as hakai_id", "'AV' as par_flag", "1 as par_flag_level_1")
+        casts = rows.select("hakai_id").distinct().selectExpr("hakai_id", "1L as ctd_cast_pk", "'9' as processing_stage", "'' as process_error")
+        return {(r.part, r.json) for r in files.flags_json(casts, rows, rows_per_document=100).filter("hakai_id = 'c'").collect()}
+
+    alone = documents(0)
+    assert len(alone) == 4 and documents(5000) == alone
+    assert sum(len(json.loads(j)["ctd_data"]) for _, j in alone) == 400
+
+
+def test_many_rules_of_one_device(spark):
+    rows = spark.createDataFrame([(1, "M", "0", "2020-01-02", 5.0, "c"), (2, "M", "1", "2020-01-02", 5.0, "c")],
+                                 "ctd_data_pk long, device_model string, device_sn string, at string, par double, hakai_id string")
+    rows = rows.withColumn("measurement_dt", F.to_timestamp("at"))
+    rules = spark.range(3000).selectExpr(
+        "id as seq", "timestamp'2020-01-01' as start_datetime_range", "timestamp'2020-01-03' as end_datetime_range",
+        "'M' as device_model", "'0' as device_sn", "cast(null as string) as hakai_id",
+        "if(id % 10 = 0, concat('par > ', id % 250), 'par < 0') as query", "'par' as data_type", "'x' as comments", "'' as flagged_by",
+        "if(id = 2750, 4, 3) as flag_type")
+    hits = greylist.match_grey_list(rows, rules).collect()
+    assert {(r.ctd_data_pk, r.seq) for r in hits} == {(1, i) for i in range(3000) if i % 10 == 0 and i % 250 < 5}
+    got = {r.ctd_data_pk: r.par_flag_level_1 for r in greylist.apply_grey_list(rows, rules).collect()}
+    assert got == {1: 4, 2: None}
 
 
 def test_stage_and_selection(spark):
@@ -118,11 +161,11 @@ def test_stage_and_selection(spark):
 def test_registered_test_feeds_its_variable(spark):
     from checks.registry import profiles, view
 
-    run.register_test("par_hakai_always_suspect_test", lambda df: df.withColumn("par_hakai_always_suspect_test", F.lit(3)))
-    try:
-        sf = "/root/testdata/sf0.001"
-        out = run.run_qc(profiles(spark, sf), view(spark, sf, "stations"), time="elapsed_s")
+    def always(df):
+        return df.withColumn("par_hakai_always_suspect_test", F.lit(3))
+
+    sf, cfg = "/root/testdata/sf0.001", QCConfig(user_tests=(always,))
+    for max_rows in (None, 50):
+        out = run.run_qc(profiles(spark, sf), view(spark, sf, "stations"), time="elapsed_s", cfg=cfg, max_rows=max_rows)
         rows = out.filter("par IS NOT NULL").select("par_flag_level_1", "par_flag").distinct().collect()
         assert rows and all(r.par_flag_level_1 >= 3 and "par_hakai_always_suspect_test" in r.par_flag for r in rows)
-    finally:
-        run.unregister_test("par_hakai_always_suspect_test")

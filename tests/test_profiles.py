@@ -138,6 +138,14 @@ def test_chunks_are_bounded_and_ordered(spark):
     assert all(a.hi < b.lo for a, b in zip(stats, stats[1:]))
 
 
+def test_chunk_size_does_not_grow_with_the_table(spark):
+    def largest(n):
+        rows = spark.range(n).selectExpr("id as ctd_data_pk", "'c' as hakai_id", "'d' as direction_flag", "double(id % 977) as depth")
+        return layout.with_chunks(rows, 500).groupBy("qc_chunk").count().agg(F.max("count")).first()[0]
+
+    assert largest(5_000) < 1000 and largest(100_000) < 1000
+
+
 def test_ordinary_casts_move_once(spark):
     df = layout.assign_qc_group(spark.createDataFrame(make(), SCHEMA))
 
