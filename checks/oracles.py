@@ -50,6 +50,7 @@ CLEAN = (
 def rate_sql(v: str, time: str = "elapsed_s", threshold: float | None = None, seconds: str | None = None) -> str:
     thr = num(float(RATES[v] if threshold is None else threshold))
     dt = seconds or f"abs({time} - lag({time}) OVER g)"
+    dt = f"(CASE WHEN {dt} = 0 THEN 1 ELSE {dt} END)"  # rows at the same time are compared with the threshold itself
     return (
         f"CASE WHEN {v} IS NULL THEN 9 WHEN abs({v} - lag({v}) OVER g) > {thr} * {dt} THEN 3 ELSE 1 END "
         f"AS {v}_qartod_rate_of_change_test"
@@ -364,7 +365,7 @@ def oracle_sql() -> dict[str, str]:
         "rate_of_change_timestamps": with_(
             FLAGGED, CLEAN,
             pk(*[rate_sql(v, threshold=1e-7,
-                          seconds="floor(abs(epoch_us(measurement_dt) - lag(epoch_us(measurement_dt)) OVER g) / 1000000)")
+                          seconds="abs(floor((epoch_us(measurement_dt) - lag(epoch_us(measurement_dt)) OVER g) / 1000000))")
                  for v in ("temperature", "salinity")]) + f" FROM clean {G}"),
         "density_inversion": with_(FLAGGED, CLEAN, pk(INVERSION) + f" FROM clean {G}"),
         "attenuated_signal": with_(FLAGGED, CLEAN, pk(*[attenuated_sql(v) for v in ATTENUATED]) + f" FROM clean {P}"),

@@ -19,15 +19,22 @@ from plumbline.schema import (
 FIRST_ROW_OF_PROFILE = GOOD  # rate of change without a row before
 MISSING_NEIGHBOUR = GOOD  # rate of change next to a missing value
 SINGLE_POINT = UNKNOWN  # density inversion of a lone row
+# Rate of change: timestamps differ by whole seconds rounded down with their sign, so a step back of 0.3 s counts as
+# one second; rows at the same time are compared with the threshold itself, as if one second lay between them.
+ROUND_DOWN_WITH_SIGN = True
+SECONDS_AT_SAME_TIME = 1
 STDDEV_DIGITS = 9  # averages are rounded before they are compared
 
 
 def _seconds_between(df: DataFrame, time: str, before: Column) -> Column:
-    """Whole seconds between two timestamps, or the plain difference of a numeric clock."""
+    """Whole seconds between two timestamps, or the plain difference of a numeric clock; never zero."""
     if isinstance(df.schema[time].dataType, (T.TimestampType, T.TimestampNTZType)):
         micros = [F.unix_micros(c.cast("timestamp")) for c in (F.col(time), before)]
-        return F.floor(F.abs(micros[0] - micros[1]) / F.lit(1_000_000))
-    return F.abs(F.col(time) - before)
+        apart = micros[0] - micros[1]
+        seconds = F.abs(F.floor((apart if ROUND_DOWN_WITH_SIGN else F.abs(apart)) / F.lit(1_000_000)))
+    else:
+        seconds = F.abs(F.col(time) - before)
+    return F.when(seconds == 0, SECONDS_AT_SAME_TIME).otherwise(seconds)
 
 
 def _rate_flag(df: DataFrame, var: str, time: str, threshold: float, before: str) -> Column:

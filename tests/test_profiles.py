@@ -57,7 +57,7 @@ def expected(data):
             inv[r[0]] = (9 if r[5] is None or r[4] is None else 2 if len(rows) == 1
                          else 4 if worst < -0.03 else 3 if worst < -0.005 else 1)
             prev = rows[i - 1] if i else None
-            fast = prev and None not in (prev[5], r[5]) and abs(r[5] - prev[5]) > 0.01 * abs(r[7] - prev[7])
+            fast = prev and None not in (prev[5], r[5]) and abs(r[5] - prev[5]) > 0.01 * (abs(r[7] - prev[7]) or 1)
             rate[r[0]] = 9 if r[5] is None else 3 if fast else 1
     hit, good, att = {}, {}, {}
     any_par = {r[1] for r in data if r[6] is not None}
@@ -138,6 +138,22 @@ def test_chunks_are_bounded_and_ordered(spark):
     assert all(a.hi < b.lo for a, b in zip(stats, stats[1:]))
 
 
+def test_rate_of_change_time_steps(spark):
+    """Same time: the threshold itself; a step back of less than a second counts as one second, one ahead as none."""
+    import datetime as dt
+
+    at = dt.datetime(2020, 1, 1)
+    steps = [(0, 10.0), (0, 10.01), (0, 16.0), (-300, 16.1), (-300, 22.0), (300, 22.1), (2500, 31.0), (2500, 42.0)]
+    rows, now = [], at
+    for k, (ms, value) in enumerate(steps):
+        now += dt.timedelta(milliseconds=ms)
+        rows.append((k, "c", "u", now, float(k), value))
+    data = spark.createDataFrame(rows, "ctd_data_pk long, hakai_id string, direction_flag string, measurement_dt timestamp_ntz, depth double, temperature double")
+    out = layout.per_cast(layout.assign_qc_group(data), lambda p: profiletests.rate_of_change(p, "temperature", 5.0))
+    got = [r[0] for r in out.orderBy("ctd_data_pk").select("temperature_qartod_rate_of_change_test").collect()]
+    assert got == [1, 1, 3, 1, 3, 1, 1, 3]
+
+
 def test_chunk_size_does_not_grow_with_the_table(spark):
     def largest(n):
         rows = spark.range(n).selectExpr("id as ctd_data_pk", "'c' as hakai_id", "'d' as direction_flag", "double(id % 977) as depth")
