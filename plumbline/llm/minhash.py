@@ -150,16 +150,17 @@ def across_components(documents: DataFrame, nodes: DataFrame, words: int) -> Dat
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
-            found = [shingler(t or b"").view(np.int64) for t in text_bytes(batch.column(1))]
+            found = [shingler(t or b"") for t in text_bytes(batch.column(1))]
+            versions = [int.from_bytes(fingerprint(x)[:8], "little", signed=True) for x in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(x) for x in found], pa.int64()), pa.array(found, pa.list_(pa.int64()))],
-                ["node", "n", "shingles"])
+                [batch.column(0), pa.array([len(x) for x in found], pa.int64()), pa.array(versions, pa.int64()),
+                 pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))], ["node", "n", "version", "shingles"])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
     own = saved(rows.join(nodes.select("node"), "node", "left_semi").mapInArrow(
-        sets, "node long, n long, shingles array<long>"), "open-sets")
+        sets, "node long, n long, version long, shingles array<long>"), "open-sets")
     # ``version`` tells the texts of an id that has several apart.
-    grams = own.select("node", "n", F.xxhash64("shingles").alias("version"), F.explode("shingles").alias("shingle"))
+    grams = own.select("node", "n", "version", F.explode("shingles").alias("shingle"))
     shared = grams.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
     n = F.col("n")
     probed = n - F.ceil(n * PERCENT / 100) + 1
