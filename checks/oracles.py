@@ -490,5 +490,15 @@ def oracle_sql() -> dict[str, str]:
             "SELECT ctd_data_pk, hakai_id, direction_flag, depth, temperature FROM ctd_profile"),
         "incremental_run": qced_flags,
     }
+    out["grey_list_csv"] = out["grey_list"]
+    out["snapshot_json"] = with_(
+        "SELECT ctd_data_pk, hakai_id, depth, temperature, CAST(epoch(measurement_dt) AS BIGINT) AS measured_at FROM ctd_profile")
+    out["casts_read"] = with_(
+        "SELECT hakai_id, ctd_cast_pk, organization, processing_stage, cast_type, CAST(NULL AS VARCHAR) AS cruise FROM casts", views=("casts",))
+    out["metadata_read"] = with_("SELECT hakai_id, cast_type, process_log FROM casts", views=("casts",))
+    out["manual_qc_read"] = with_(
+        "SELECT hakai_id, dissolved_oxygen_ml_l_flag, par_flag, absolute_salinity_flag, CAST(NULL AS VARCHAR) AS density_flag FROM manual_qc",
+        views=("manual_qc",))
+    out["stations_read"] = with_("SELECT station, station_depth FROM stations", views=("stations",))
     out["derived_density"] = with_(*density_steps())
     return out

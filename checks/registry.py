@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks.adapter import view
-from plumbline import config as C
+from plumbline import config as C, schema as S
 from plumbline.functions import density, geo
 from plumbline.operators import aggregate, casttests, greylist, layout, profiletests, rowtests, timecols
 from plumbline.operators.lookups import lookup
@@ -24,6 +24,8 @@ INVERSIONS = {v: t.inversion for v, t in C.VARIABLE_TESTS.items() if t.inversion
 ATTENUATED = {v: t.attenuated for v, t in C.VARIABLE_TESTS.items() if t.attenuated}
 GREY_VARS = ["dissolved_oxygen_ml_l", "par", "turbidity", "flc"]
 
+GREY_COLUMNS = [c.format(v) for v in GREY_VARS for c in ("{}_flag_level_1", "{}_flag", "{}_grey_list_test")]
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -232,8 +234,7 @@ def grey_list_matches(spark, sf):
 @query
 def grey_list(spark, sf):
     out = greylist.apply_grey_list(clean(spark, sf), view(spark, sf, "grey_list"))
-    columns = [c.format(v) for v in GREY_VARS for c in ("{}_flag_level_1", "{}_flag", "{}_grey_list_test")]
-    return out.select(PK, *columns)
+    return out.select(PK, *GREY_COLUMNS)
 
 
 # ------------------------------------------------------------------ whole run
@@ -361,6 +362,56 @@ def snapshot(spark, sf):
     return back.select(PK, "hakai_id", "direction_flag", "depth", "temperature")
 
 
+@query
+def snapshot_json(spark, sf):
+    """Rows as JSON lines with ISO times, read back with the fixed schema."""
+    folder = new_folder(spark, "json")
+    rows = profiles(spark, sf)
+    rows.withColumn("measurement_dt", F.date_format("measurement_dt", "yyyy-MM-dd'T'HH:mm:ss'Z'")).write.json(folder)
+    back = files.read_ctd_data(spark, folder, "json")
+    return back.select(PK, "hakai_id", "depth", "temperature", F.unix_seconds("measurement_dt").alias("measured_at"))
+
+
+def _read_back(spark, sf, name, reader, renamed=None):
+    """A side table written to files and read by its reader."""
+    folder = new_folder(spark, name)
+    view(spark, sf, name).withColumnsRenamed(renamed or {}).write.parquet(folder)
+    return reader(spark, folder)
+
+
+@query
+def casts_read(spark, sf):
+    return _read_back(spark, sf, "casts", files.read_casts).select(
+        "hakai_id", "ctd_cast_pk", "organization", "processing_stage", "cast_type", "cruise")
+
+
+@query
+def metadata_read(spark, sf):
+    return _read_back(spark, sf, "casts", files.read_metadata).select("hakai_id", "cast_type", "process_log")
+
+
+@query
+def manual_qc_read(spark, sf):
+    return _read_back(spark, sf, "manual_qc", files.read_manual_qc).select(
+        "hakai_id", "dissolved_oxygen_ml_l_flag", "par_flag", "absolute_salinity_flag", "density_flag")
+
+
+@query
+def stations_read(spark, sf):
+    back = _read_back(spark, sf, "stations", files.read_stations, {"station": "name", "station_depth": "depth"})
+    return back.select("station", "station_depth")
+
+
+@query
+def grey_list_csv(spark, sf):
+    """The override rules written as CSV and applied as read: quoting, ISO times, leading zeros, line order."""
+    folder = new_folder(spark, "rules")
+    rules = view(spark, sf, "grey_list").coalesce(1).sortWithinPartitions("seq").drop("seq")
+    rules.select(S.grey_list_schema().names).write.option("escape", '"').csv(folder, header=True)
+    out = greylist.apply_grey_list(clean(spark, sf), files.read_grey_list(spark, folder))
+    return out.select(PK, *GREY_COLUMNS)
+
+
 # -------------------------------------------------------------------- reports
 
 
