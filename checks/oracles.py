@@ -489,6 +489,7 @@ def oracle_sql() -> dict[str, str]:
         "snapshot": with_(
             "SELECT ctd_data_pk, hakai_id, direction_flag, depth, temperature FROM ctd_profile"),
         "incremental_run": qced_flags,
+        "incremental_late_rows": qced_flags,
     }
     out["grey_list_csv"] = out["grey_list"]
     out["snapshot_json"] = with_(

@@ -472,3 +472,15 @@ def incremental_run(spark, sf):
     incremental.run_incremental(
         _stream(spark, sf), lambda rows: qced(spark, sf, rows), f"{folder}/out", f"{folder}/checkpoint")
     return incremental.read_flags(spark, f"{folder}/out").select(PK, "hakai_id", *FINAL)
+
+
+@query
+def incremental_late_rows(spark, sf):
+    """Every cast is spread over several files and batches; the last run of each cast counts."""
+    folder = new_folder(spark, "late")
+    table = spark.read.parquet(f"{sf}/lineitem.parquet")
+    table.repartition(2, "l_orderkey").write.parquet(f"{folder}/in")
+    stream = incremental.read_cast_stream(spark, f"{folder}/in", table.schema, files_per_batch=1)
+    incremental.run_incremental(
+        view(spark, sf, "ctd_profile", stream), lambda rows: qced(spark, sf, rows), f"{folder}/out", f"{folder}/checkpoint")
+    return incremental.read_flags(spark, f"{folder}/out").select(PK, "hakai_id", *FINAL)
