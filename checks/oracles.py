@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.adapter import ctes
+from checks.adapter import VIEWS, ctes
 from plumbline.config import QUERY_RULES, SPIKE, VARIABLE_TESTS
 from plumbline.functions import density
 
@@ -323,6 +323,22 @@ def density_steps() -> list[str]:
     ]
 
 
+def batch_steps() -> list[str]:
+    """A run over the casts of the default stages with sigma0 derived instead of given."""
+    flagged, clean, *steps, _ = density_steps()
+    vol = "sqrt(0.0248826675584615e0 * sa + 0.5971840214030754e0)"
+    return [
+        f"raw AS ({VIEWS['ctd_profile'].format(S='VARCHAR')})",
+        flagged.replace("flagged AS", "flagged0 AS").replace("FROM ctd_profile", "FROM raw"),
+        clean.replace("clean AS", "clean0 AS").replace("FROM flagged", "FROM flagged0"),
+        *[step.replace("FROM clean)", "FROM clean0)") for step in steps],
+        f"derived AS (SELECT ctd_data_pk, 1 / {poly(density._VOLUME, vol, '(ct/40)', None)} - 1000 AS s0 FROM ct)",
+        "ctd_profile AS (SELECT raw.* REPLACE (s0 AS sigma0) FROM raw LEFT JOIN derived USING (ctd_data_pk) WHERE hakai_id IN "
+        "(SELECT hakai_id FROM casts WHERE processing_stage IN ('8_binAvg', '8_rbr_processed')))",
+        *run_ctes(),
+    ]
+
+
 def pk(*cols: str) -> str:
     return "SELECT ctd_data_pk, " + ", ".join(cols)
 
@@ -491,6 +507,11 @@ def oracle_sql() -> dict[str, str]:
         "incremental_run": qced_flags,
         "incremental_late_rows": qced_flags,
     }
+    all_flags = ", ".join(
+        f"CAST({v}_final_level_1 AS VARCHAR) AS {v}_flag_level_1, nullif({v}_final_text, '') AS {v}_flag" for v in TESTED)
+    out["batch_run"] = with_(
+        *batch_steps(), f"SELECT hakai_id, '9_qc_auto' AS processing_stage, ctd_data_pk, {all_flags} FROM qced",
+        views=[v for v in RUN_VIEWS if v != "ctd_profile"])
     out["grey_list_csv"] = out["grey_list"]
     out["snapshot_json"] = with_(
         "SELECT ctd_data_pk, hakai_id, depth, temperature, CAST(epoch(measurement_dt) AS BIGINT) AS measured_at FROM ctd_profile")

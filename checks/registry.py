@@ -12,7 +12,7 @@ from plumbline import config as C, schema as S
 from plumbline.functions import density, geo
 from plumbline.operators import aggregate, casttests, greylist, layout, profiletests, rowtests, timecols
 from plumbline.operators.lookups import lookup
-from plumbline.plans import alerts as alert_plan, reports, run, selection
+from plumbline.plans import alerts as alert_plan, batch, reports, run, selection
 from plumbline.schema import PK
 from plumbline.sources import files
 from plumbline.streaming import incremental
@@ -288,6 +288,32 @@ def upload_documents(spark, sf):
     return lines.select("ctd_cast_pk", "hakai_id", "processing_stage", "process_error", "r.*")
 
 
+def _batch(spark, sf):
+    """The batch job over the casts of the default stages, on derived density; its output folder."""
+    folder = new_folder(spark, "batch")
+    rows = profiles(spark, sf).drop("sigma0")
+    missing = [f for f in S.ctd_data_schema() if f.name not in rows.columns]
+    rows = rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})  # the whole row contract
+    batch.run_batch(
+        rows, selection.select_casts(view(spark, sf, "casts")), view(spark, sf, "stations"), folder,
+        view(spark, sf, "casts"), view(spark, sf, "manual_qc").drop("work_area"), view(spark, sf, "grey_list"),
+        time="elapsed_s", min_date="2013-01-01 00:00:00")
+    return folder
+
+
+BATCH_ROW = ", ".join(f"{v}_flag_level_1: string, {v}_flag: string" for v in TESTED)
+
+
+@query
+def batch_run(spark, sf):
+    """The flags of every tested variable as the upload documents hold them."""
+    documents = spark.read.schema("json string").json(f"{_batch(spark, sf)}/documents")
+    parsed = F.from_json(
+        "json", f"cast struct<hakai_id: string, processing_stage: string>, ctd_data array<struct<ctd_data_pk: long, {BATCH_ROW}>>")
+    lines = documents.select(parsed.alias("d")).select("d.cast.*", F.explode("d.ctd_data").alias("r"))
+    return lines.select("hakai_id", "processing_stage", "r.*")
+
+
 @query
 def alerts(spark, sf):
     casts = view(spark, sf, "casts").select("hakai_id", "cast_type", "processing_stage")
