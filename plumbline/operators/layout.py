@@ -52,8 +52,7 @@ def large_casts(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
     """
     limit = max_rows or MAX_ROWS_PER_CAST
     large = df.groupBy(CAST).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit).select(CAST)
-    large = written(large, "large-casts")
-    return None if large.isEmpty() else large
+    return None if large.isEmpty() else written(large, "large-casts")
 
 
 def _rank(cuts: Column, key: Column) -> Column:

@@ -206,3 +206,10 @@ def test_process_log(spark):
     assert [rows[k][slow_col] for k in "abcdef"] == [None, 3, None, None, None, None]
     assert [rows[k]["salinity_hakai_no_soak_test"] for k in "abcdef"] == [None, None, 3, None, None, None]
     assert [rows[k]["hakai_short_static_deployment_test"] for k in "abcdef"] == [None, None, None, None, 3, None]
+
+
+def test_plan_of_a_whole_run(spark):
+    from checks import registry
+
+    plan = registry.QUERIES["qc_run"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 8 and plan.count("Sort [") <= 3
