@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from plumbline.operators.lookups import lookup
+from plumbline.operators.lookups import lookup, written
 from plumbline.schema import CAST, DEPTH
 
 STATION_FLAG = "depth_in_station_range_test"
@@ -67,11 +67,12 @@ def station_flag_review(data: DataFrame, stations: DataFrame) -> DataFrame:
     Deepest rows per (station, cast) are found once; whether a cast was flagged comes with them.
     """
     flagged = F.col("temperature_flag").like(f"%{STATION_FLAG}%")
-    drops = data.groupBy("station", CAST).agg(
+    # One row per station and cast, written: everything below reads it, so the data are read once.
+    drops = written(data.groupBy("station", CAST).agg(
         F.max(DEPTH).alias("max_depth"),
         F.max(F.when(flagged, F.col(DEPTH))).alias("flagged_max_depth"),
         F.coalesce(F.max(flagged), F.lit(False)).alias("flagged"),
-    )
+    ), "drops")
     bad = F.when(F.col("flagged"), F.col("flagged_max_depth"))
     known = F.col("station").isNotNull()  # totals are looked up by station, so not for rows without one
     per_station = drops.groupBy("station").agg(

@@ -169,3 +169,10 @@ def test_registered_test_feeds_its_variable(spark):
         out = run.run_qc(profiles(spark, sf), view(spark, sf, "stations"), time="elapsed_s", cfg=cfg, max_rows=max_rows)
         rows = out.filter("par IS NOT NULL").select("par_flag_level_1", "par_flag").distinct().collect()
         assert rows and all(r.par_flag_level_1 >= 3 and "par_hakai_always_suspect_test" in r.par_flag for r in rows)
+
+
+def test_station_review_is_ordered(spark):
+    from checks import registry
+
+    rows = registry.QUERIES["station_flag_review"](spark, "/root/testdata/sf0.01").select("flagged_profiles_count", "station").collect()
+    assert rows and [tuple(r) for r in rows] == sorted(map(tuple, rows), key=lambda r: (-r[0], r[1]))
