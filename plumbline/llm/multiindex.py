@@ -124,7 +124,8 @@ def _met(queries: DataFrame, index: DataFrame, cut: list[tuple[int, int]], step:
         apart = F.bit_count(F.shiftrightunsigned(other, start).bitwiseAND(F.lit((1 << bits) - 1)))
         first = first & F.when(F.col("segment") > j, apart > F.col("radius")).when(
             F.col("segment") < j, apart >= F.col("radius")).otherwise(True)
-    met = functools.reduce(DataFrame.unionByName, probes).join(index, ["segment", "value"]).filter(first)
+    # Spark's size estimate misses that probes are exploded; without the hint it may broadcast them.
+    met = functools.reduce(DataFrame.unionByName, probes).join(index.hint("merge"), ["segment", "value"]).filter(first)
     return met.select("query", "code", "first_id", "n", F.bit_count(other).alias("distance"))
 
 
