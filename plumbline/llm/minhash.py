@@ -240,3 +240,27 @@ def deduplicated(documents: DataFrame, words: int = WORDS) -> DataFrame:
 
 def op10_minmax_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+OP10_SQL = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), sets AS MATERIALIZED (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) < 2 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s
+  FROM words
+), grams AS MATERIALIZED (
+  SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets WHERE doc_id IS NOT NULL
+), links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+    AND 100 * least(a.n, b.n) >= {PERCENT} * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {PERCENT} * (a.n + b.n - count(*))
+), reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least_of AS (
+  SELECT a, min(b) AS c FROM reach GROUP BY a
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(c, doc_id)) AS component_id,
+  coalesce(doc_id = least(doc_id, coalesce(c, doc_id)), TRUE) AS kept
+FROM sets LEFT JOIN least_of ON a = doc_id
+"""

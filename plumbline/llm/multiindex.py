@@ -1,7 +1,6 @@
 """Exact nearest binary codes by incremental multi-index hashing.
 
-A 64-bit code is cut into m segments of about log2(number of codes) bits, and each segment value points to its
-codes. A query probes, segment by segment, all values at Hamming distance 0, then 1, then 2 and so on. After
+A 64-bit code is cut into m segments, fewer the more codes there are, and each segment value points to its codes. A query probes, segment by segment, all values at Hamming distance 0, then 1, then 2 and so on. After
 radius s in the first a+1 segments (and s-1 in the rest) every code within m*s + a of the query has been met, so a
 query is done once its k-th verified distance is no larger. A code is verified only at the first step that
 meets it.
@@ -35,13 +34,35 @@ def sign_code(embedding: str) -> Column:
         f"aggregate(transform(slice({embedding}, 1, {BITS}), (x, i) -> if(x > 0, shiftleft(1L, i), 0L)), 0L, (a, b) -> a | b)")
 
 
-def segments(n: int) -> list[tuple[int, int]]:
-    """(first bit, bits) of each segment for an index of n codes."""
-    m = max(2, min(16, round(BITS / max(1.0, math.log2(max(n, 2))))))
+def _even(m: int) -> list[tuple[int, int]]:
+    """(first bit, bits) of m segments of about equal length."""
     cuts = [round(i * BITS / m) for i in range(m + 1)]
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
+def segments(n: int, k: int = K) -> list[tuple[int, int]]:
+    """Segments for an index of n codes: the cheapest split for codes without structure.
+
+    Their k-th neighbour lies at about the distance within which k of n random codes fall; a split costs the
+    probes that cover this distance and the codes these find. Other data need more or fewer steps, not another result.
+    """
+    near, within = 0, 1
+    while n * within < k << BITS and near < BITS:
+        near += 1
+        within += math.comb(BITS, near)
+
+    def cost(m: int) -> float:
+        total = 0.0
+        for radius in range(BITS + 1):
+            for j, (_, bits) in enumerate(_even(m)):
+                total += math.comb(bits, radius) * (1 + n / 2**bits)
+                if m * radius + j >= near:
+                    return total
+        return total
+
+    return _even(min(range(2, 17), key=cost))
+
+
 def _value(code: str, segment: tuple[int, int]) -> Column:
     first, bits = segment
     return F.shiftrightunsigned(F.col(code), first).bitwiseAND(F.lit((1 << bits) - 1))
@@ -68,7 +89,7 @@ def search(items: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     by_code = W.partitionBy("code").orderBy("id")
     entries = saved(rows.withColumn("place", F.row_number().over(by_code)).filter(F.col("place") <= k), "entries")
     codes = saved(entries.groupBy("code").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n")), "codes")
-    cut = segments(codes.count())
+    cut = segments(codes.count(), k)
     m = len(cut)
     index = saved(codes.select(
         "code", "first_id", "n", F.posexplode(F.array(*[_value("code", s) for s in cut])).alias("segment", "value")), "index")

@@ -15,4 +15,7 @@ QUERIES = {f.__name__: f for f in (
 
 def oracle_sql() -> dict[str, str]:
     """SQL where it can express the operator; the others are held against brute force in tests."""
-    return {"op3_code_search": multiindex.OP3_SQL}
+    return {
+        "op3_code_search": multiindex.OP3_SQL, "op8_rotation_codes": rabitq.OP8_SQL,
+        "op10_minmax_near_duplicates": minhash.OP10_SQL,
+    }

@@ -266,3 +266,25 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
 
 def op8_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+OP8_SQL = f"""
+WITH RECURSIVE fine AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND list_sum(list_transform(embedding, lambda x: CAST(coalesce(isfinite(x), FALSE) AS INTEGER))) = len(embedding)
+    AND list_sum(list_transform(embedding, lambda x: CAST(x <> 0 AS INTEGER))) > 0
+), links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= {THRESHOLD}
+), reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), told AS (
+  SELECT a, min(b) AS c FROM reach GROUP BY a
+), degrees AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(c, vec_id)) AS component_id,
+  coalesce(vec_id = least(vec_id, coalesce(c, vec_id)), TRUE) AS kept
+FROM embeddings LEFT JOIN told ON told.a = vec_id LEFT JOIN degrees ON degrees.a = vec_id
+"""
