@@ -18,6 +18,7 @@ _UNEQUAL = "\x1c\x1d\x1e\x1f"  # white space for Python but not for the tokenize
 _BYTE_LEVEL = re.compile(r" ?\S+|\s+(?=\s\S)|\s+")
 # Blanks and line feeds between words are handled directly; these and runs of blanks are left to the pattern above.
 _OTHER_BLANKS = [c for c in map(chr, range(0x10000)) if c.isspace() and c not in " \n"] + ["  ", "\n\n", " \n", "\n "]
+_OTHER_ASCII_BLANKS = [c for c in _OTHER_BLANKS if c.isascii()]
 # Latin letters, which composition leaves alone (the dotted capital I, which lower-cases to two, is left out).
 _LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ƺ]+")
 
@@ -93,7 +94,8 @@ class Encoder:
         first, later = self._words.__getitem__, self._later.__getitem__
         if self._split == "words":
             return b"".join(map(first, text.split()))
-        if text != text.strip() or any(c in text for c in _OTHER_BLANKS):
+        others = _OTHER_ASCII_BLANKS if text.isascii() else _OTHER_BLANKS
+        if text != text.strip() or any(c in text for c in others):
             return b"".join(map(first, _BYTE_LEVEL.findall(text)))
         ids = []
         for line in text.split("\n"):
