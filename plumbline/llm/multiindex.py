@@ -75,11 +75,17 @@ def _masks(bits: int, radius: int) -> Column:
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
-    """Of the codes met by each query, those that can hold one of its k nearest rows."""
+    """Of the codes met by each query, those that can hold one of its k nearest rows.
+
+    A row can only be among them if the first row of its code is, and if nearer codes hold fewer than k rows.
+    ``upto``: rows at this distance or nearer.
+    """
     order = W.partitionBy("query").orderBy("distance", "first_id")
     near = found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k).drop("place")
-    before = F.sum("n").over(order.rowsBetween(W.unboundedPreceding, -1))
-    return near.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < k)
+    by_distance = W.partitionBy("query").orderBy("distance")
+    nearer = F.sum("n").over(by_distance.rangeBetween(W.unboundedPreceding, -1))
+    upto = F.sum("n").over(by_distance.rangeBetween(W.unboundedPreceding, W.currentRow))
+    return near.withColumns({"nearer": F.coalesce(nearer, F.lit(0)), "upto": upto}).filter(F.col("nearer") < k).drop("nearer")
 
 
 def search(items: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
@@ -95,12 +101,12 @@ def search(items: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         "code", "first_id", "n", F.posexplode(F.array(*[_value("code", s) for s in cut])).alias("segment", "value")), "index")
     wanted = queries.filter("id IS NOT NULL AND code IS NOT NULL").select("id", "code").distinct()
     open_queries = saved(wanted.select(F.col("code").alias("query")).distinct(), "queries")
-    best = spark.createDataFrame([], "query long, code long, first_id long, n long, distance int, before long")
+    best = spark.createDataFrame([], "query long, code long, first_id long, n long, distance int, upto long")
 
     for step in _steps(cut):
-        best = saved(_best(best.drop("before").unionByName(_met(open_queries, index, cut, step)), k), "best")
+        best = saved(_best(best.drop("upto").unionByName(_met(open_queries, index, cut, step)), k), "best")
         radius, j = step[-1]
-        kth = best.filter(F.col("before") + F.col("n") >= k).groupBy("query").agg(F.min("distance").alias("kth"))
+        kth = best.filter(F.col("upto") >= k).groupBy("query").agg(F.min("distance").alias("kth"))
         done = kth.filter(F.col("kth") <= m * radius + j).select("query")
         open_queries = saved(open_queries.join(done, "query", "left_anti"), "queries")
         if open_queries.isEmpty():

@@ -150,6 +150,17 @@ def test_code_search(spark, k):
     assert multiindex.search(items.limit(0), items.limit(0), k).count() == 0
 
 
+def test_code_search_with_many_ties(spark):
+    """Copies and codes one or two bits apart: rows of several codes alternate by id at one distance."""
+    rng = np.random.default_rng(8)
+    center = int(rng.integers(-2**62, 2**62))
+    rows = [(i, center ^ (1 << int(rng.integers(0, 6))) ^ (1 << int(rng.integers(0, 6)))) for i in range(300)]
+    items = spark.createDataFrame(rows, "id long, code long")
+    for k in (3, 10):
+        got = sorted(tuple(r) for r in multiindex.search(items, items.filter("id % 20 = 0"), k).collect())
+        assert got == brute_search(rows, k)
+
+
 def test_code_search_against_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
