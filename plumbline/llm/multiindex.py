@@ -25,7 +25,7 @@ from plumbline.llm.common import saved, table
 
 BITS = 64
 K = 10
-_PROBES = 1000  # a step goes on to further segments and radii until it has so many probes of each query
+_PROBES = 1000  # most probes of each query in a step, beyond the first radii, which are steps of their own
 
 
 def sign_code(embedding: str) -> Column:
@@ -100,15 +100,18 @@ def search(items: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     index = saved(codes.select(
         "code", "first_id", "n", F.posexplode(F.array(*[_value("code", s) for s in cut])).alias("segment", "value")), "index")
     wanted = queries.filter("id IS NOT NULL AND code IS NOT NULL").select("id", "code").distinct()
-    open_queries = saved(wanted.select(F.col("code").alias("query")).distinct(), "queries")
+    open_queries = saved(wanted.select(F.col("code").alias("query"), F.lit(BITS).alias("within")).distinct(), "queries")
     best = spark.createDataFrame([], "query long, code long, first_id long, n long, distance int, upto long")
 
     for step in _steps(cut):
         best = saved(_best(best.drop("upto").unionByName(_met(open_queries, index, cut, step)), k), "best")
         radius, j = step[-1]
         kth = best.filter(F.col("upto") >= k).groupBy("query").agg(F.min("distance").alias("kth"))
-        done = kth.filter(F.col("kth") <= m * radius + j).select("query")
-        open_queries = saved(open_queries.join(done, "query", "left_anti"), "queries")
+        # The k-th distance so far bounds what later steps need to bring.
+        open_queries = saved(
+            open_queries.select("query").join(kth, "query", "left")
+            .filter(F.coalesce(F.col("kth") > m * radius + j, F.lit(True)))
+            .select("query", F.coalesce("kth", F.lit(BITS)).alias("within")), "queries")
         if open_queries.isEmpty():
             break
     order = W.partitionBy("query_id", "query").orderBy("distance", "id")
@@ -122,11 +125,11 @@ def search(items: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
 
 
 def _steps(cut: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
-    """(radius, segment) in growing order, as steps of about _PROBES probes."""
+    """(radius, segment) in growing order: each of the first radii a step, then steps of about _PROBES probes."""
     steps, probes = [[]], 0
     for radius in range(max(bits for _, bits in cut) + 1):
         for j, (_, bits) in enumerate(cut):
-            if probes >= _PROBES:
+            if probes >= _PROBES or (radius <= 3 and j == 0 and steps[-1]):
                 steps.append([])
                 probes = 0
             steps[-1].append((radius, j))
@@ -135,18 +138,18 @@ def _steps(cut: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
 
 
 def _met(queries: DataFrame, index: DataFrame, cut: list[tuple[int, int]], step: list[tuple[int, int]]) -> DataFrame:
-    """Codes that the probes of a step are the first to meet, with their distances."""
+    """Codes that the probes of a step are the first to meet, no farther than needed, with their distances."""
     probes = []
     for radius, j in step:
         if cut[j][1] >= radius:
             own_value = _value("query", cut[j])
             values = F.transform(_masks(cut[j][1], radius), own_value.bitwiseXOR)
             probes.append(queries.select(
-                "query", F.lit(radius).alias("radius"), F.lit(j).alias("segment"), F.explode(values).alias("value")))
+                "query", "within", F.lit(radius).alias("radius"), F.lit(j).alias("segment"), F.explode(values).alias("value")))
     if not probes:
         return index.sparkSession.createDataFrame([], "query long, code long, first_id long, n long, distance int")
     other = F.col("query").bitwiseXOR(F.col("code"))
-    first = F.lit(True)
+    first = F.bit_count(other) <= F.col("within")
     for j, (start, bits) in enumerate(cut):
         apart = F.bit_count(F.shiftrightunsigned(other, start).bitwiseAND(F.lit((1 << bits) - 1)))
         first = first & F.when(F.col("segment") > j, apart > F.col("radius")).when(
