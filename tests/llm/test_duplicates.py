@@ -1,5 +1,6 @@
 """Near-duplicates, sentence spans, embeddings and components against brute force."""
 
+import random
 import re
 from collections import defaultdict
 
@@ -133,6 +134,39 @@ def test_sentence_spans_of_odd_documents(spark, odd_documents, no_documents):
     assert by_id[4][0].text is None and by_id[5][0].text == "" and base in {r.text for r in by_id[None]}
 
 
+@pytest.mark.parametrize("marks", [0, 0.04, 0.08, 0.15])
+def test_any_shared_window_is_found(spark, marks):
+    """Windows of 50 words from every offset of a text, between words of their own: each loses words, nothing else does."""
+    rng = random.Random(marks)
+
+    def fresh(name, n):
+        return [f"{name}{k}" + ("." if rng.random() < marks else "") for k in range(n)]
+
+    source = fresh("w", 300)
+    rows, around = [(0, " ".join(fresh("z", 7) + source))], {}
+    for at in range(251):
+        before, after = " ".join(fresh(f"a{at}x", rng.randint(0, 40))), " ".join(fresh(f"b{at}x", rng.randint(0, 40)))
+        around[at + 1] = before, after
+        rows.append((at + 1, " ".join(filter(None, [before, *source[at : at + 50], after]))))
+    texts = dict(rows)
+    for r in sentencespans.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        if r.doc_id == 0:
+            assert r.text == texts[0]
+            continue
+        before, after = around[r.doc_id]
+        assert r.text.startswith(before) and r.text.endswith(after) and len(r.text.split()) <= len(texts[r.doc_id].split()) - 20
+
+
+def test_shared_text_without_blanks(spark):
+    rng = random.Random(3)
+    fresh = lambda n: "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(n))
+    source = fresh(1500)
+    rows = [(0, fresh(11) + source)] + [(at + 1, fresh(rng.randint(0, 99)) + source[at : at + 450] + fresh(60)) for at in range(0, 1050, 13)]
+    for r in sentencespans.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        text = dict(rows)[r.doc_id]
+        assert r.text == text if r.doc_id == 0 else len(r.text) <= len(text) - 20 and r.text.endswith(text[-60:])
+
+
 def brute_links(rows):
     ids = list(range(len(rows)))
     links = set()
