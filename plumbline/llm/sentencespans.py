@@ -16,7 +16,8 @@ brings the verdict back is one on the hash, whose skewed partitions Spark splits
 a third of all documents is no single task. Only the runs of one document are ever gathered together.
 
 Defined cases: a null text stays null and has no part; a text with fewer parts or words than one run stays as
-it is; rows without an id are neither compared nor changed; rows with the same id count as one document; an empty
+it is; rows without an id are neither compared nor changed; rows with the same id count as one document, each with
+the repeats of its own text; an empty
 table gives no rows; other columns are ignored.
 """
 
@@ -134,42 +135,53 @@ def runs(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return _sums(parts, a, b).view(np.int64), a, b
 
 
+def versioned(documents: DataFrame) -> DataFrame:
+    """doc_id, text and version, which tells the texts of an id apart: a hash of the text, 0 where no id has several rows.
+
+    A hash in every row of the shuffles takes a third of their space, so it is there only if it is needed.
+    """
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    repeated = rows.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    return rows.withColumn("version", F.lit(0).cast("long") if repeated.isEmpty() else F.xxhash64("text"))
+
+
 def hashed_runs(documents: DataFrame) -> DataFrame:
-    """Written: run, doc_id, span (first part times SPAN plus the number of parts), and whether the text had the run before.
+    """Written: run, doc_id, version, span (first part times SPAN plus the number of parts), and whether the text had the run before.
 
     A run has few parts, as each but an empty one at the start of a text has a word.
     """
 
     def hash_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, columns = [], [[], [], []]
-            for doc, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
+            docs, versions, columns = [], [], [[], [], []]
+            for doc, text, version in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), batch.column(2).to_pylist()):
                 _, _, hashes, bounds = cut(str(text or b"", "utf-8", "replace"))
                 found, a, b = runs(hashes, bounds)
                 if len(found):
                     again = np.ones(len(found), bool)
                     again[np.unique(found, return_index=True)[1]] = False
                     docs.append(np.full(len(found), doc, np.int64))
+                    versions.append(np.full(len(found), version, np.int64))
                     for column, values in zip(columns, (found, a * SPAN + b - a, again)):
                         column.append(values)
             if docs:
                 found, span, again = map(np.concatenate, columns)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(found), pa.array(np.concatenate(docs)), pa.array(span), pa.array(again)], ["run", "doc_id", "span", "again"])
+                    [pa.array(found), pa.array(np.concatenate(docs)), pa.array(np.concatenate(versions)), pa.array(span), pa.array(again)],
+                    ["run", "doc_id", "version", "span", "again"])
 
-    rows = documents.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return saved(rows.mapInArrow(hash_runs, "run long, doc_id long, span long, again boolean"), "runs")
+    rows = documents.filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    return saved(rows.mapInArrow(hash_runs, "run long, doc_id long, version long, span long, again boolean"), "runs")
 
 
 def repeats(found: DataFrame) -> DataFrame:
-    """(doc_id, spans): the runs of a document that are not the first of their kind."""
+    """(doc_id, version, spans): the runs of a text that are not the first of their kind."""
     own = found.filter(~F.col("again"))
     elsewhere = own.groupBy("run").agg(
         F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc")).filter("n > 1").select("run", "first_doc")
-    later = own.join(elsewhere, "run").filter("doc_id > first_doc").select("doc_id", "span")
-    within = found.filter("again").select("doc_id", "span")
-    return later.unionByName(within).groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
+    later = own.join(elsewhere, "run").filter("doc_id > first_doc").select("doc_id", "version", "span")
+    within = found.filter("again").select("doc_id", "version", "span")
+    return later.unionByName(within).groupBy("doc_id", "version").agg(F.collect_list("span").alias("spans"))
 
 
 def deduplicated(documents: DataFrame) -> DataFrame:
@@ -203,8 +215,8 @@ def deduplicated(documents: DataFrame) -> DataFrame:
                 [batch.column(0), pa.array(totals, pa.int64()), pa.array(removed, pa.int64()), pa.array(out, pa.string())],
                 ["doc_id", "n_sentences", "n_removed", "text"])
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marked = rows.join(repeats(hashed_runs(documents)), "doc_id", "left")
+    rows = versioned(documents)
+    marked = rows.join(repeats(hashed_runs(rows)), ["doc_id", "version"], "left")
     return marked.select("doc_id", "text", "spans").mapInArrow(
         remove, "doc_id long, n_sentences long, n_removed long, text string")
 

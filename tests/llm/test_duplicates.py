@@ -167,6 +167,13 @@ def test_shared_text_without_blanks(spark):
         assert r.text == text if r.doc_id == 0 else len(r.text) <= len(text) - 20 and r.text.endswith(text[-60:])
 
 
+def test_two_texts_under_one_id(spark):
+    base, own, short = prose(1, 60), prose(8, 90), "Short."
+    rows = [(1, base), (2, f"{own}\n{base}"), (2, prose(9, 200)), (2, short)]
+    got = sentencespans.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.text) for r in got} == {(1, base), (2, f"{own}\n"), (2, prose(9, 200)), (2, short)}
+
+
 def brute_links(rows):
     ids = list(range(len(rows)))
     links = set()
