@@ -76,8 +76,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._split = split
+        # A text that holds the string of an added token stays whole: the library finds it before it cuts.
+        added = self._tokenizer.get_added_tokens_decoder().values()
+        self._whole = [*_UNEQUAL, *(t.content for t in added)]
+        self._split = None if any(t.normalized for t in added) else split  # found only after normalizing
         self._words = _Words(self._tokenizer, lower=split == "words")
         self._later = _Words(self._tokenizer, lower=False, before=" ")
 
@@ -86,7 +88,7 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """Ids of a text, with no special ids added."""
-        if self._split is None or any(c in text for c in _UNEQUAL):
+        if self._split is None or any(c in text for c in self._whole):
             return self.whole(text)
         if len(self._words) + len(self._later) > MAX_REMEMBERED:
             self._words.clear()

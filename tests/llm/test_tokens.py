@@ -23,6 +23,17 @@ def test_parts_give_the_ids_of_the_text(split, text):
     assert own.encode(text) == own.whole(text)
 
 
+@pytest.mark.parametrize("split,path", [("words", WORD), ("byte_level", BYTE)])
+def test_strings_of_special_tokens_give_what_the_untouched_library_gives(split, path):
+    from tokenizers import Tokenizer
+
+    untouched = Tokenizer.from_file(path)
+    for mark in ("<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof text|>"):
+        for text in (mark, f"one{mark}two", f"one {mark} two.\n{mark}{mark}", f"{mark}\x1c x", f" a\n\n{mark}", f"{mark[:-1]} {mark}"):
+            ids = untouched.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(ENCODERS[split].encode(text), "<u4").tolist() == ids
+
+
 def ids_of(rows, path, end):
     from tokenizers import Tokenizer
 
