@@ -12,7 +12,9 @@
 5. Links are confirmed on the full sets, recomputed from the texts of the documents that need it; components
    follow by contraction.
 
-A pair at the threshold 0.8 shares no band with a probability of (1 - 0.8**4)**24 = 3e-6.
+A pair of large sets at the threshold 0.8 shares no band with a probability of (1 - 0.8**4)**24 = 3e-6. In small sets
+the smallest and the largest value depend on each other: sets of 4 and 5 shingles share both with 0.6 and not
+0.8**2, and no band with (1 - 0.6**2)**24 = 2.2e-5.
 
 Defined cases: texts without words (null, empty, blank) have no shingle and are linked with nothing; rows
 without a document id are linked with nothing and kept; repeated rows of one id give one row each, and several
