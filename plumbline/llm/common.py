@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -58,6 +58,25 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+HEAVY = 1024
+
+
+def joined_to_groups(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """Rows with the values of their group, from a table with one row per key and its number of rows ``n``.
+
+    Keys with more than one in HEAVY of all rows, so fewer than HEAVY keys, are broadcast; only rows of the others are
+    shuffled. A null key is a key. Both tables are read twice.
+    """
+    total = groups.agg(F.sum("n")).first()[0] or 0
+    named = groups.withColumnRenamed(key, "__key")
+    heavy = named.filter(F.col("n") * HEAVY > total)
+    same = F.col(key).eqNullSafe(F.col("__key"))
+    common = rows.join(F.broadcast(heavy), same)
+    others = rows.join(F.broadcast(heavy.select("__key")), same, "left_anti").join(
+        named.filter(F.col("n") * HEAVY <= total), same)
+    return common.unionByName(others).drop("__key", "n")
+
+
 def text_bytes(column: pa.Array) -> Iterator[memoryview | None]:
     """UTF-8 bytes of a string or binary column, without decoding or copying; None where null."""
     if isinstance(column, pa.ChunkedArray):
