@@ -125,6 +125,21 @@ DEFAULT_STAGES = ("8_binAvg", "8_rbr_processed")
 QCED_STAGE = "9_qc_auto"
 
 
+@dataclass(frozen=True)
+class UserTest:
+    """A test of your own that looks at most ``back`` rows up and ``ahead`` rows down its profile.
+
+    ``fn`` adds columns; its windows are ``layout.ordered(df)``, so that they also hold where a large cast is cut.
+    """
+
+    fn: Callable[[DataFrame], DataFrame]
+    back: int = 0
+    ahead: int = 0
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return self.fn(df)
+
+
 @dataclass(frozen=True)
 class QCConfig:
     variables: dict[str, VariableTests] = field(default_factory=lambda: VARIABLE_TESTS)
@@ -136,9 +151,9 @@ class QCConfig:
     aggregation_extra: dict[str, tuple[str, ...]] = field(default_factory=lambda: AGGREGATION_EXTRA)
     include_par_shadow: bool = False  # let par_shadow_test feed par
     bad_value_text: bool = False  # also name the bad-value test in the text flag
-    # Tests of your own: functions that add a column to rows laid out by ``layout.per_cast``, where a large cast is
-    # cut into chunks, so whole-group work goes through the helpers of ``layout``. A column named
-    # ``{var}_hakai_...`` or ``{var}_qartod_...`` feeds that variable's flags.
+    # Tests of your own: a ``UserTest``, or a function that adds a column to rows laid out by ``layout.per_cast``, where a
+    # large cast is cut into chunks, so whole-group work goes through the helpers of ``layout``. A column
+    # named ``{var}_hakai_...`` or ``{var}_qartod_...`` feeds that variable's flags.
     user_tests: tuple[Callable[[DataFrame], DataFrame], ...] = ()
 
     def tested(self) -> list[str]:

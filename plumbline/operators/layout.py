@@ -55,7 +55,7 @@ def large_casts(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
     return None if large.isEmpty() else written(large, "large-casts")
 
 
-def _rank(cuts: Column, key: Column) -> Column:
+def rank_in(cuts: Column, key: Column) -> Column:
     """Number of sorted cuts at or below key, by bisection."""
 
     def step(s: Column, _: Column) -> Column:
@@ -89,7 +89,7 @@ def with_chunks(df: DataFrame, rows_per_chunk: int) -> DataFrame:
         .filter(F.col("place") % every == 0)
         .groupBy(*PROFILE)
         .agg(F.sort_array(F.collect_list("cut")).alias("cuts")), "cuts")
-    chunk = F.when(F.col("cuts").isNull(), F.lit(0)).otherwise(_rank(F.col("cuts"), depth_key()))
+    chunk = F.when(F.col("cuts").isNull(), F.lit(0)).otherwise(rank_in(F.col("cuts"), depth_key()))
     return (
         df.join(cuts, PROFILE, "left")  # a few profiles: broadcast or split at run time, by their real size
         .withColumn(CHUNK, chunk * 2 + F.col(DEPTH).isNull().cast("int"))
@@ -220,3 +220,61 @@ def max_from_bottom(
     )
     out = out.join(carried, [*group, CHUNK], "left")
     return out.withColumn(name, F.greatest(name, "carried")).drop("carried")
+
+
+# ------------------------------------------------------------------------ halo
+
+HALO = "qc_halo"
+
+
+def ordered(df: DataFrame, group: Sequence[str] = QC_GROUP) -> W:
+    """Window over the rows of a profile, or of the chunk of a cut one, in depth order."""
+    return W.partitionBy(*group, *_chunk(df)).orderBy(*depth_order())
+
+
+def with_halo(df: DataFrame, back: int, ahead: int, group: Sequence[str] = QC_GROUP) -> DataFrame:
+    """Give every chunk copies of the ``back`` rows before and the ``ahead`` rows after it, marked in ``qc_halo``.
+
+    The copies may come from more than one chunk, where chunks are smaller than the halo. Only the rows at the ends
+    of chunks are copied: a row is numbered within its profile by the sizes of the chunks before and its place
+    from the end of its own, and meets the chunks that begin (or end) within reach by blocks of numbers.
+    """
+    rows, keys = df.withColumn(HALO, F.lit(False)), [*group, CHUNK]
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    until = W.partitionBy(*group).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, W.currentRow)
+    chunks = sizes.withColumn("stop", F.sum("n").over(until)).withColumn("start", F.col("stop") - F.col("n"))
+    chunks = written(chunks, "chunk-sizes")
+    names, out = df.columns, rows
+    for reach, edge in ((back, "start"), (ahead, "stop")):
+        if not reach:
+            continue
+        order = depth_order() if edge == "stop" else [F.col(DEPTH).desc_nulls_first(), F.col(PK).desc()]
+        place = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
+        ends = df.withColumn("place", place).filter(F.col("place") <= reach).join(
+            chunks.select(*keys, F.col("start" if edge == "stop" else "stop").alias("corner")), keys)
+        # Numbers from 0: a row before a chunk's start, or at or after a chunk's stop.
+        number = F.col("corner") + F.col("place") - 1 if edge == "stop" else F.col("corner") - F.col("place")
+        block = lambda c: F.floor(c / reach).cast("long")
+        near = F.array(block(F.col("number")), block(F.col("number")) + (1 if edge == "start" else -1))
+        ends = ends.withColumn("number", number).withColumn("block", F.explode(near)).drop(CHUNK, "place", "corner")
+        targets = chunks.select(*group, CHUNK, F.col(edge).alias("edge"), block(F.col(edge)).alias("block"))
+        gap = F.col("edge") - F.col("number") if edge == "start" else F.col("number") - F.col("edge") + 1
+        reached = ends.join(targets, [*group, "block"]).filter(gap.between(1, reach))
+        out = out.unionByName(reached.select(*names).withColumn(HALO, F.lit(True)))
+    return out
+
+
+def with_user_tests(df: DataFrame, tests: Sequence[Callable[[DataFrame], DataFrame]]) -> DataFrame:
+    """Apply tests that may look ``back`` and ``ahead`` a stated number of rows (attributes of the test, 0 by default).
+
+    Rows of whole casts are passed on as they are. Cut casts are written once, and their chunks get the widest halo of
+    all tests; the copies go again afterwards, so a test's own windows (``ordered``) see what they see in a whole cast.
+    """
+    back, ahead = (max((getattr(t, side, 0) for t in tests), default=0) for side in ("back", "ahead"))
+    cut = bool(_chunk(df)) and (back or ahead)
+    out = df
+    if cut:
+        out = with_halo(written(df, "cut-casts"), back, ahead).repartition(CAST, DIRECTION, CHUNK)
+    for test in tests:
+        out = test(out)
+    return out.filter(~F.col(HALO)).drop(HALO) if cut else out

@@ -65,9 +65,7 @@ def run_qc(
         if "par" in tested:
             out = profiletests.par_shadow(out, "par", cfg.par_shadow_min, part)
         out = casttests.station_depth(out, cfg.station_depth, source=part)  # drops rows without a station
-        for fn in cfg.user_tests:
-            out = fn(out)
-        return out
+        return layout.with_user_tests(out, cfg.user_tests)
 
     out = layout.per_cast(rows, whole_casts, max_rows, sized=grouped, tables=cast_tables)
     out = out.drop(STATIC_TIME, "station_depth")
@@ -78,5 +76,5 @@ def run_qc(
     sources = {v: aggregate.flag_sources(v, out.columns, cfg) for v in tested}
     out = aggregate.aggregate_flags(out, sources)
     if grey is not None:
-        out = greylist.apply_grey_list(out, grey)
+        out = greylist.apply_grey_list(out, grey, source=grouped)
     return aggregate.override_bad(out, tested, cfg.bad_value_text)

@@ -6,7 +6,7 @@ import functools
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from plumbline import schema as S
 
@@ -66,9 +66,22 @@ def read_stations(spark: SparkSession, path, fmt: str = "parquet") -> DataFrame:
 
 
 def read_grey_list(spark: SparkSession, path) -> DataFrame:
-    """Override rules with their line order as ``seq``; the rules must come from one file."""
+    """Override rules with their line order as ``seq``, from one file, several, or a folder.
+
+    Files count in the order of their names and lines in the order of the file, however the files are split or dealt to
+    tasks: lines are numbered within each block of a file, and blocks by the sizes of those before.
+    """
     rules = prepared(spark).read.schema(S.grey_list_schema()).csv(path, header=True, escape='"')
-    return rules.withColumn("seq", F.monotonically_increasing_id())
+    lines = rules.select(
+        "*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"),
+        F.monotonically_increasing_id().alias("__line"))
+    place = ["__file", "__block"]
+    numbered = lines.withColumn("__at", F.row_number().over(W.partitionBy(*place).orderBy("__line")))
+    before = W.orderBy(*place).rowsBetween(W.unboundedPreceding, -1)  # one row per block of a file
+    starts = lines.groupBy(*place).agg(F.count(F.lit(1)).alias("n")).select(
+        *place, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
+    out = numbered.join(starts, place).withColumn("seq", F.col("__start") + F.col("__at") - 1)
+    return out.select(*rules.columns, "seq")
 
 
 def read_id_list(spark: SparkSession, path) -> DataFrame:

@@ -6,7 +6,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.config import Attenuated, DoCap, Inversion, StationDepth
+from plumbline.config import Attenuated, DoCap, Inversion, StationDepth, UserTest
 from plumbline.operators import casttests, layout, profiletests
 
 SCHEMA = ("ctd_data_pk long, hakai_id string, direction_flag string, measurement_dt timestamp_ntz, depth double, "
@@ -213,3 +213,40 @@ def test_plan_of_a_whole_run(spark):
 
     plan = registry.QUERIES["qc_run"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") <= 8 and plan.count("Sort [") <= 3
+
+
+def windowed(back, ahead):
+    """A test that sees the sum of some rows above and the largest of some rows below."""
+
+    def fn(df):
+        rows = layout.ordered(df)
+        below = F.max("par").over(rows.rowsBetween(1, ahead)) if ahead else F.lit(None).cast("double")
+        return df.withColumns({
+            "above": F.sum("t").over(rows.rowsBetween(-back, -1)), "below": below,
+            "n": F.count(F.lit(1)).over(rows.rowsBetween(-back, ahead))})
+
+    return UserTest(fn, back, ahead)
+
+
+@pytest.mark.parametrize("back,ahead", [(3, 2), (40, 25), (1, 0)])
+def test_user_tests_see_beyond_their_chunk(spark, back, ahead):
+    """The same for whole casts, for chunks larger than the halo, and for chunks that the halo spans."""
+    data = make(4)
+    df = layout.assign_qc_group(spark.createDataFrame(data, SCHEMA))
+    want = {}
+    for rows in groups(data).values():
+        for i, r in enumerate(rows):
+            above, below = rows[max(0, i - back) : i], rows[i + 1 : i + 1 + ahead]
+            values = [x[6] for x in below if x[6] is not None]
+            want[r[0]] = (sum(x[7] for x in above) if above else None, max(values, default=None), len(above) + 1 + len(below))
+    for max_rows in (None, 100, 10):
+        tests = [windowed(back, ahead), lambda d: d.withColumn("own", F.col("t") * 2)]
+        if ahead == 0:
+            tests = tests[:1]
+        got = layout.per_cast(df, lambda p: layout.with_user_tests(p, tests), max_rows).collect()
+        assert len(got) == len(data)
+        for r in got:
+            above, below, n = want[r.ctd_data_pk]
+            assert r.n == n and r.below == below
+            assert r.above == (None if above is None else pytest.approx(above))
+        assert "qc_halo" not in got[0].asDict()
