@@ -3,13 +3,33 @@
 from __future__ import annotations
 
 from checks.adapter import VIEWS, ctes
-from plumbline.config import QUERY_RULES, SPIKE, VARIABLE_TESTS
 from plumbline.functions import density
 
-TESTED = list(VARIABLE_TESTS)
-GROSS = {v: t.gross_range for v, t in VARIABLE_TESTS.items() if t.gross_range}
-RATES = {v: t.rate_of_change for v, t in VARIABLE_TESTS.items() if t.rate_of_change}
-ATTENUATED = {v: t.attenuated for v, t in VARIABLE_TESTS.items() if t.attenuated}
+# The test parameters, spelled out here as well, so that a wrong number in the library shows.
+GROSS = {  # fail span, suspect span
+    "conductivity": ((-0.1, 100), (0, 100)), "depth": ((0, 12000), (0, 12000)), "dissolved_oxygen_ml_l": ((0, 20), (1, 15)),
+    "dissolved_oxygen_percent": ((-1, 200), (0, 170)), "flc": ((-0.5, 150), (-0.1, 80)), "par": ((-2, 100000), (-1, 50000)),
+    "pressure": ((0, 12000), (0, 12000)), "rinko_do_ml_l": ((0, 20), (1, 15)), "salinity": ((0, 45), (2, 42)),
+    "temperature": ((-2, 100), (-2, 40)), "turbidity": ((-0.1, 10000), (0, 1000)),
+}
+RATES = {"dissolved_oxygen_ml_l": 3, "dissolved_oxygen_percent": 30, "rinko_do_ml_l": 3, "salinity": 5, "temperature": 5}
+ATTENUATED = {  # suspect, fail, kind
+    "c_star_at": (0.002, 0.0001, "range"), "dissolved_oxygen_ml_l": (0.1, 0.01, "range"),
+    "dissolved_oxygen_percent": (0.1, 0.01, "range"), "par": (0.05, 0.02, "std"), "rinko_do_ml_l": (0.1, 0.01, "range"),
+    "turbidity": (0.01, 0.001, "range"),
+}
+SPIKE = {
+    "dissolved_oxygen_ml_l": (0.5, 1.0), "dissolved_oxygen_percent": (20.0, 40.0), "rinko_do_ml_l": (0.5, 1.0),
+    "c_star_at": (0.5, 1.0), "salinity": (0.5, 1.0),
+}
+SUBMERGED = [  # where, measured variable, flag columns
+    ("Mid", "par", ["par_hakai_sensor_mid_submerged_test"]),
+    ("Bottom", "par", ["par_hakai_sensor_bottom_submerged_test"]),
+    ("Bottom", "dissolved_oxygen_ml_l", [
+        "dissolved_oxygen_percent_hakai_sensor_bottom_submerged_test",
+        "dissolved_oxygen_ml_l_hakai_sensor_bottom_submerged_test"]),
+]
+TESTED = sorted({*GROSS, *ATTENUATED, "sigma0"})
 CAP = ["dissolved_oxygen_ml_l", "rinko_do_ml_l"]
 NO_SOAK = ["dissolved_oxygen_ml_l", "temperature", "conductivity", "salinity"]
 SENTINEL = "CAST(-9.99e-29 AS DOUBLE)"
@@ -31,7 +51,7 @@ def bad_sql(v: str) -> str:
 
 
 def gross_sql(v: str) -> str:
-    (fl, fh), (sl, sh) = GROSS[v].fail, GROSS[v].suspect
+    (fl, fh), (sl, sh) = GROSS[v]
     return (
         f"CASE WHEN {v} IS NULL THEN 9 WHEN {v} < {num(fl)} OR {v} > {num(fh)} THEN 4 "
         f"WHEN {v} < {num(sl)} OR {v} > {num(sh)} THEN 3 ELSE 1 END AS {v}_qartod_gross_range_test"
@@ -68,12 +88,12 @@ G = f"WINDOW g AS ({GROUP} ORDER BY depth, ctd_data_pk)"
 
 
 def attenuated_sql(v: str) -> str:
-    t = ATTENUATED[v]
+    suspect, fail, kind = ATTENUATED[v]
     spread = (
-        f"(max({v}) OVER p - min({v}) OVER p)" if t.check == "range" else f"round(stddev_pop({v}) OVER p, 9)")
+        f"(max({v}) OVER p - min({v}) OVER p)" if kind == "range" else f"round(stddev_pop({v}) OVER p, 9)")
     return (
-        f"CASE WHEN direction_flag = 's' THEN NULL WHEN {v} IS NULL THEN 9 WHEN {spread} < {num(t.fail)} THEN 4 "
-        f"WHEN {spread} < {num(t.suspect)} THEN 3 ELSE 1 END AS {v}_qartod_attenuated_signal_test"
+        f"CASE WHEN direction_flag = 's' THEN NULL WHEN {v} IS NULL THEN 9 WHEN {spread} < {num(fail)} THEN 4 "
+        f"WHEN {spread} < {num(suspect)} THEN 3 ELSE 1 END AS {v}_qartod_attenuated_signal_test"
     )
 
 
@@ -121,11 +141,10 @@ STATION = """depths AS (
   LEFT JOIN stations USING (station))"""
 
 
-def query_sql(rules=QUERY_RULES) -> str:
-    names = dict.fromkeys(c for r in rules for c in r.columns)
+def query_sql() -> str:
     return ", ".join(
-        "CASE " + " ".join(f"WHEN {r.predicate} THEN {r.value}" for r in reversed(rules) if c in r.columns)
-        + f" ELSE 1 END AS {c}" for c in names)
+        f"CASE WHEN organization = 'NATURE TRUST' AND sensors_submerged = '{where}' AND {v} IS NOT NULL THEN 4 ELSE 1 END AS {c}"
+        for where, v, columns in SUBMERGED for c in columns)
 
 
 def log_sql() -> str:
@@ -512,7 +531,37 @@ def oracle_sql() -> dict[str, str]:
     out["batch_run"] = with_(
         *batch_steps(), f"SELECT hakai_id, '9_qc_auto' AS processing_stage, ctd_data_pk, {all_flags} FROM qced",
         views=[v for v in RUN_VIEWS if v != "ctd_profile"])
-    out["grey_list_csv"] = out["grey_list"]
+    out["grey_list_csv"] = out["grey_list_files"] = out["grey_list"]
+    out["grey_list_many"] = with_(
+        FLAGGED, CLEAN,
+        "many AS (SELECT o_orderkey AS seq, CAST(o_orderdate AS TIMESTAMP) AS first_time, CAST(o_orderdate AS TIMESTAMP) + to_days(CAST(o_orderkey % 45 AS INTEGER)) AS last_time, "
+        "concat('M', o_custkey % 4) AS device_model, concat('0', o_custkey % 8) AS device_sn, "
+        "CASE WHEN o_orderkey % 9 = 0 THEN [concat('C', o_custkey % 100, '_A'), 'C3_R'] END AS casts, o_orderkey % 7 = 0 AS deep FROM orders)",
+        "SELECT ctd_data_pk, count(*) AS n, min(seq) AS first, max(seq) AS last FROM clean d JOIN many r "
+        "ON d.device_model = r.device_model AND d.device_sn = r.device_sn AND d.measurement_dt BETWEEN first_time AND last_time "
+        "AND (casts IS NULL OR list_contains(casts, d.hakai_id)) AND (NOT deep OR depth > 25) GROUP BY ctd_data_pk")
+    out["position_choice"] = with_(
+        "SELECT hakai_id, CASE WHEN ctd_cast_pk % 3 <> 0 THEN station_latitude ELSE latitude END AS position_latitude, "
+        "CASE WHEN ctd_cast_pk % 3 <> 0 THEN station_longitude ELSE longitude END AS position_longitude FROM casts", views=("casts",))
+    near = f"OVER ({GROUP} ORDER BY depth, ctd_data_pk ROWS BETWEEN 3 PRECEDING AND 2 FOLLOWING)"
+    out["user_test"] = with_(
+        FLAGGED, CLEAN,
+        pk(f"CASE WHEN conductivity IS NULL THEN 9 WHEN count(conductivity) {near} >= 4 "
+           f"AND max(conductivity) {near} - min(conductivity) {near} < 0.02e0 THEN 3 ELSE 1 END AS conductivity_hakai_steady_test")
+        + " FROM clean")
+    live = [(p, m) for p, m in MESSAGES if p.startswith("location") or "gross_range" in p]
+    out["live_alerts"] = with_(
+        FLAGGED, CLEAN, "tested AS (SELECT *, " + ", ".join(gross_sql(v) for v in GROSS) + " FROM clean)",
+        "found AS (" + " UNION ".join(
+            f"SELECT DISTINCT {DROP}, '{m}' AS message FROM tested WHERE start_dt > TIMESTAMP '2013-01-01 00:00:00' AND {p}" for p, m in live) + ")",
+        "SELECT f.work_area, f.station, f.device_sn, f.hakai_id, f.message, c.cast_type AS cast_cast_type, "
+        "c.processing_stage AS cast_processing_stage FROM found f LEFT JOIN casts c ON f.hakai_id = c.hakai_id",
+        views=("ctd_profile", "casts"))
+    out["station_review_order"] = with_(
+        *run_ctes(),
+        "bad AS (SELECT DISTINCT station, hakai_id FROM qced WHERE temperature_final_text LIKE '%depth_in_station_range_test%')",
+        "SELECT station, count(*) AS flagged_profiles_count, row_number() OVER (ORDER BY count(*) DESC, station) AS place FROM bad GROUP BY station",
+        views=RUN_VIEWS)
     out["snapshot_json"] = with_(
         "SELECT ctd_data_pk, hakai_id, depth, temperature, CAST(epoch(measurement_dt) AS BIGINT) AS measured_at FROM ctd_profile")
     out["casts_read"] = with_(

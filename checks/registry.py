@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from checks.adapter import view
 from plumbline import config as C, schema as S
@@ -187,6 +187,31 @@ def manual_qc_rows(spark, sf):
     return out.select(PK, *[c for c in out.columns if c.endswith("_manual_qc_flag")])
 
 
+@query
+def position_choice(spark, sf):
+    """The station's position, else the cast's; every third cast has no position of its station."""
+    casts = view(spark, sf, "casts")
+    known = {c: F.when(F.col("ctd_cast_pk") % 3 != 0, F.col(c)) for c in ("station_latitude", "station_longitude")}
+    return geo.with_position(casts.withColumns(known)).select("hakai_id", "position_latitude", "position_longitude")
+
+
+def _steady(df: DataFrame) -> DataFrame:
+    """SUSPECT where a sensor hardly moves over the three rows above and the two below."""
+    near = layout.ordered(df).rowsBetween(-3, 2)
+    spread = F.max("conductivity").over(near) - F.min("conductivity").over(near)
+    still = (F.count("conductivity").over(near) >= 4) & (spread < 0.02)
+    flag = F.when(F.col("conductivity").isNull(), S.MISSING).when(still, S.SUSPECT).otherwise(S.GOOD)
+    return df.withColumn("conductivity_hakai_steady_test", flag)
+
+
+@query
+def user_test(spark, sf):
+    """A test of the user's own that looks up and down its profile, on casts cut into chunks of some hundred rows."""
+    steady = C.UserTest(_steady, back=3, ahead=2)
+    out = layout.per_cast(clean(spark, sf), lambda p: layout.with_user_tests(p, [steady]), max_rows=100)
+    return out.select(PK, "conductivity_hakai_steady_test")
+
+
 @query
 def location(spark, sf):
     position = [F.col(c) for c in ("latitude", "longitude", "station_latitude", "station_longitude")]
@@ -237,6 +262,27 @@ def grey_list(spark, sf):
     return out.select(PK, *GREY_COLUMNS)
 
 
+def _many_rules(spark, sf):
+    """A rule for every order: a device, and some weeks from the day of the order on."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    begin = F.col("o_orderdate").cast("timestamp")
+    return orders.select(
+        F.col("o_orderkey").alias("seq"), begin.alias("start_datetime_range"),
+        (begin + F.make_dt_interval((F.col("o_orderkey") % 45).cast("int"))).alias("end_datetime_range"),
+        F.concat(F.lit("M"), (F.col("o_custkey") % 4).cast("string")).alias("device_model"),
+        F.concat(F.lit("0"), (F.col("o_custkey") % 8).cast("string")).alias("device_sn"),
+        F.when(F.col("o_orderkey") % 9 == 0, F.concat(F.lit("C"), (F.col("o_custkey") % 100).cast("string"), F.lit("_A,C3_R"))).alias("hakai_id"),
+        F.when(F.col("o_orderkey") % 7 == 0, "depth > 25").alias("query"), F.lit("par").alias("data_type"), F.lit(3).alias("flag_type"),
+        F.col("o_orderstatus").alias("comments"), F.lit(None).cast("string").alias("flagged_by"))
+
+
+@query
+def grey_list_many(spark, sf):
+    """Very many overlapping rules on few devices: how many hold for each row, the first and the last of them."""
+    hits = greylist.match_grey_list(clean(spark, sf), _many_rules(spark, sf))
+    return hits.groupBy(PK).agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first"), F.max("seq").alias("last"))
+
+
 # ------------------------------------------------------------------ whole run
 
 
@@ -438,6 +484,18 @@ def grey_list_csv(spark, sf):
     return out.select(PK, *GREY_COLUMNS)
 
 
+@query
+def grey_list_files(spark, sf):
+    """The override rules from three files of uneven size; their order decides which rule wins."""
+    folder = new_folder(spark, "rules")
+    parts = {"a": "seq = 1", "b": "seq BETWEEN 2 AND 4", "c": "seq = 5"}
+    for name, part in parts.items():
+        rules = view(spark, sf, "grey_list").filter(part).coalesce(1).sortWithinPartitions("seq").drop("seq")
+        rules.select(S.grey_list_schema().names).write.option("escape", '"').csv(f"{folder}/{name}", header=True)
+    rules = files.read_grey_list(spark, [f"{folder}/{name}" for name in sorted(parts, reverse=True)])
+    return greylist.apply_grey_list(clean(spark, sf), rules).select(PK, *GREY_COLUMNS)
+
+
 # -------------------------------------------------------------------- reports
 
 
@@ -455,6 +513,15 @@ def station_flag_review(spark, sf):
     return out.withColumns({c: F.round(c, 6) for c in rounded})
 
 
+@query
+def station_review_order(spark, sf):
+    """The station review with the place of each row in its output."""
+    review = reports.station_flag_review(qced(spark, sf), view(spark, sf, "stations"))
+    placed = review.select("station", "flagged_profiles_count", F.monotonically_increasing_id().alias("at"))
+    place = F.row_number().over(W.orderBy("at")).cast("long")  # one row per station with a finding
+    return placed.select("station", "flagged_profiles_count", place.alias("place"))
+
+
 @query
 def location_review(spark, sf):
     out = reports.location_review(view(spark, sf, "casts"))
@@ -492,6 +559,21 @@ def live_row_tests(spark, sf):
     return spark.read.parquet(f"{folder}/out")
 
 
+@query
+def live_alerts(spark, sf):
+    """Alerts on a stream that is stopped and started again; drops have rows in both parts."""
+    folder = new_folder(spark, "live-alerts")
+    table = spark.read.parquet(f"{sf}/lineitem.parquet")
+    casts = view(spark, sf, "casts").select("hakai_id", "cast_type", "processing_stage")
+    for part in ("l_linestatus = 'F'", "l_linestatus <> 'F'"):
+        table.filter(part).repartition(2).write.mode("append").parquet(f"{folder}/in")
+        stream = incremental.read_cast_stream(spark, f"{folder}/in", table.schema, files_per_batch=1)
+        flagged = incremental.live_row_tests(layout.assign_qc_group(view(spark, sf, "ctd_profile", stream)))
+        found = incremental.live_alerts(flagged, casts, "2013-01-01 00:00:00")
+        incremental.write_stream(found, f"{folder}/out", f"{folder}/checkpoint")
+    return spark.read.parquet(f"{folder}/out")
+
+
 @query
 def incremental_run(spark, sf):
     folder = new_folder(spark, "incremental")

@@ -1,8 +1,8 @@
-"""Position tests (documented only, off by default)."""
+"""Positions, and position tests (documented only, off by default)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline.config import LOCATION_BBOX, LOCATION_RANGE_M
 from plumbline.schema import FAIL, GOOD, MISSING, SUSPECT
@@ -10,6 +10,11 @@ from plumbline.schema import FAIL, GOOD, MISSING, SUSPECT
 EARTH_RADIUS_M = 6371000.0
 
 
+def with_position(df: DataFrame) -> DataFrame:
+    """Add ``position_latitude`` and ``position_longitude``: the station's position, else the cast's, each by itself."""
+    return df.withColumns({f"position_{c}": F.coalesce(f"station_{c}", c) for c in ("latitude", "longitude")})
+
+
 def distance_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Great-circle distance (haversine)."""
     dlat, dlon = F.radians(lat2 - lat1) / 2, F.radians(lon2 - lon1) / 2
