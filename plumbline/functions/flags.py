@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -55,17 +55,40 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def worst(sources: Sequence[str]) -> Column:
+# ``terms`` has the SQL of columns that are packed.
+
+
+def worst(sources: Sequence[str], terms: Mapping[str, str] | None = None) -> Column:
     """Worst of the codes 1 < 3 < 4 in the named columns; other codes do not count. NULL when none counts."""
-    counted = [f"IF({c} IN ({GOOD}, {SUSPECT}, {FAIL}), {c}, NULL)" for c in map(_quoted, sources)]
+    found = [(terms or {}).get(c, _quoted(c)) for c in sources]
+    counted = [f"IF({c} IN ({GOOD}, {SUSPECT}, {FAIL}), {c}, NULL)" for c in found]
     return F.expr(f"greatest({', '.join(counted)})" if len(counted) > 1 else counted[0])
 
 
-def findings(sources: Sequence[str]) -> Column:
+def findings(sources: Sequence[str], terms: Mapping[str, str] | None = None) -> Column:
     """Text of the tests that failed or are suspect: failures first, names in descending order."""
     parts = []
     for code in (FAIL, SUSPECT):
         for name in sorted(sources, reverse=True):
             text = f"{FLAG_TEXT[code]}: {name}".replace("\\", "\\\\").replace("'", "\\'")
-            parts.append(f"IF({_quoted(name)} = {code}, '{text}', NULL)")
+            parts.append(f"IF({(terms or {}).get(name, _quoted(name))} = {code}, '{text}', NULL)")
     return F.expr(f"nullif(concat_ws('; ', {', '.join(parts)}), '')")
+
+
+CODES_PER_WORD = 15  # codes are below 16
+
+
+def packed(codes: Mapping[str, Column], name: str) -> dict[str, Column]:
+    """Several codes in a few whole numbers, so that rows are narrower where they are moved and sorted."""
+    words, columns = {}, list(codes.values())
+    for at in range(0, len(columns), CODES_PER_WORD):
+        parts = [F.shiftleft(c.cast("long"), 4 * i) for i, c in enumerate(columns[at : at + CODES_PER_WORD])]
+        words[f"{name}_{at // CODES_PER_WORD}"] = reduce(Column.bitwiseOR, parts)
+    return words
+
+
+def unpacked(columns: Sequence[str], name: str) -> dict[str, str]:
+    """SQL of the columns that ``packed`` put into words of this name."""
+    return {
+        c: f"CAST(shiftright({_quoted(f'{name}_{i // CODES_PER_WORD}')}, {4 * (i % CODES_PER_WORD)}) & 15 AS INT)"
+        for i, c in enumerate(columns)}

@@ -167,25 +167,27 @@ def neighbours(
     after: str | None,
     group: Sequence[str] = QC_GROUP,
     source: DataFrame | None = None,
+    fields_after: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Add the fields of the row above (``before``) and below (``after``) in depth order as structs.
 
-    The struct is NULL where there is no such row.
+    The struct is NULL where there is no such row. ``fields_after``: other fields of the row below.
     """
     record = F.struct(*[c.alias(n) for n, c in fields.items()])
+    following = F.struct(*[c.alias(n) for n, c in (fields_after or fields).items()])
     w = W.partitionBy(*group, *_chunk(df)).orderBy(*depth_order())
     new = {}
     if before:
         new[before] = F.lag(record).over(w)
     if after:
-        new[after] = F.lead(record).over(w)
+        new[after] = F.lead(following).over(w)
     out = df.withColumns(new)
     if not _chunk(df):
         return out
     across = W.partitionBy(*group).orderBy(CHUNK)
     edges = (
         (df if source is None else source).groupBy(*group, CHUNK)
-        .agg(F.min_by(record, depth_key()).alias("first"), F.max_by(record, depth_key()).alias("last"))
+        .agg(F.min_by(following, depth_key()).alias("first"), F.max_by(record, depth_key()).alias("last"))
         .select(
             *group, CHUNK,
             F.lag("last").over(across).alias("edge_before"), F.lead("first").over(across).alias("edge_after"))

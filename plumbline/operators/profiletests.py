@@ -10,9 +10,11 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from plumbline.config import Attenuated, Inversion
+from plumbline.functions import flags
 from plumbline.operators import layout
+from plumbline.operators.casttests import Facts
 from plumbline.schema import (
-    DEPTH, DIRECTION, FAIL, GOOD, MEASURED_AT, MISSING, PROFILE, SUSPECT, UNKNOWN,
+    CAST, DEPTH, DIRECTION, FAIL, GOOD, MEASURED_AT, MISSING, PROFILE, SUSPECT, UNKNOWN,
 )
 
 # Choices where the published test definitions leave room.
@@ -75,10 +77,11 @@ def neighbour_tests(
 ) -> DataFrame:
     """Rate of change against the row above and density inversion against both neighbours, in one pass."""
     before, after = "qc_before", "qc_after"
-    fields = {v: F.col(v) for v in dict.fromkeys([*rates, *inversions, DEPTH])}
+    fields = {v: F.col(v) for v in dict.fromkeys([*rates, *inversions, *([DEPTH] if inversions else [])])}
     if rates:
         fields["at"] = F.col(time)
-    out = layout.neighbours(df, fields, before, after if inversions else None)
+    below = {v: F.col(v) for v in [*inversions, DEPTH]}
+    out = layout.neighbours(df, fields, before, after if inversions else None, fields_after=below)
     new = {f"{v}_qartod_rate_of_change_test": _rate_flag(df, v, time, t, before) for v, t in rates.items()}
     new |= {
         f"{v}_qartod_density_inversion_test": _inversion_flag(v, lim, before, after) for v, lim in inversions.items()
@@ -94,6 +97,57 @@ def density_inversion(df: DataFrame, density: str, limits: Inversion) -> DataFra
     return neighbour_tests(df, {}, {density: limits})
 
 
+def _spread(t: Attenuated, var: str, value: Column | None = None, of: str = "") -> tuple[dict[str, Column], Column]:
+    """The totals that an attenuated-signal test needs, and its spread from them."""
+    value = F.col(var) if value is None else value
+    if t.check == "range":
+        names = f"qc_max_{var}{of}", f"qc_min_{var}{of}"
+        return {names[0]: F.max(value), names[1]: F.min(value)}, F.col(names[0]) - F.col(names[1])
+    if t.check == "std":
+        return {f"qc_std_{var}{of}": F.stddev_pop(value)}, F.round(f"qc_std_{var}{of}", STDDEV_DIGITS)
+    raise ValueError(f"unknown check {t.check!r} for {var}")
+
+
+def _spread_flag(t: Attenuated, spread: Column) -> Column:
+    return F.when(spread < t.fail, FAIL).when(spread < t.suspect, SUSPECT).otherwise(GOOD)
+
+
+ATTENUATED_WORDS = "qc_attenuated"
+
+
+def profile_facts(df: DataFrame, attenuated: Mapping[str, Attenuated], counted: str | None = None) -> Facts:
+    """The attenuated-signal verdicts of a cast's profiles, by pre-aggregated sums only.
+
+    The verdicts of each direction are packed; ``attenuated_flags`` gives rows their columns. ``qc_any`` is the
+    cast's number of values of ``counted``.
+    """
+    totals = {"qc_any": F.count(f"qc_of_{counted}") if counted else F.lit(0)}
+    words: dict[str, Column] = {}
+    for d in ("d", "u"):
+        codes = {}
+        for var, t in attenuated.items():
+            parts, spread = _spread(t, var, F.when(F.col("qc_direction") == d, F.col(f"qc_of_{var}")), f"_{d}")
+            totals |= parts
+            codes[f"{var}_{d}"] = _spread_flag(t, spread)
+        words |= {f"{w}_{d}": c for w, c in flags.packed(codes, ATTENUATED_WORDS).items()}
+    names = dict.fromkeys([*attenuated, *([counted] if counted else [])])
+    rows = df.select(CAST, F.col(DIRECTION).alias("qc_direction"), *[F.col(v).alias(f"qc_of_{v}") for v in names])
+    return Facts(rows, totals, {"qc_any": F.col("qc_any"), **words})
+
+
+def attenuated_flags(df: DataFrame, attenuated: Mapping[str, Attenuated], missing: Mapping[str, Column]) -> DataFrame:
+    """The attenuated-signal column of every variable from joined ``profile_facts``, which go."""
+    if not attenuated:
+        return df
+    down = F.col(DIRECTION) == "d"
+    names = sorted(c[:-2] for c in df.columns if c.startswith(ATTENUATED_WORDS) and c.endswith("_d"))
+    out = df.withColumns({w: F.when(down, F.col(f"{w}_d")).otherwise(F.col(f"{w}_u")) for w in names})
+    codes = flags.unpacked(list(attenuated), ATTENUATED_WORDS)
+    return out.withColumns({
+        f"{v}_qartod_attenuated_signal_test": F.when(F.col(DIRECTION) != "s", F.when(missing[v], MISSING).otherwise(F.expr(codes[v])))
+        for v in attenuated}).drop(*names, *[f"{w}_{d}" for w in names for d in ("d", "u")])
+
+
 def whole_profile_tests(
     df: DataFrame,
     attenuated: Mapping[str, Attenuated] | None = None,
@@ -107,20 +161,9 @@ def whole_profile_tests(
     attenuated = attenuated or {}
     parts, per_cast, new = {}, {}, {}
     for var, t in attenuated.items():
-        if t.check == "range":
-            parts |= {f"qc_max_{var}": F.max(var), f"qc_min_{var}": F.min(var)}
-            spread = F.col(f"qc_max_{var}") - F.col(f"qc_min_{var}")
-        elif t.check == "std":
-            parts[f"qc_std_{var}"] = F.stddev_pop(var)
-            spread = F.round(f"qc_std_{var}", STDDEV_DIGITS)
-        else:
-            raise ValueError(f"unknown check {t.check!r} for {var}")
-        flag = (
-            F.when(F.col(var).isNull(), MISSING)
-            .when(spread < t.fail, FAIL)
-            .when(spread < t.suspect, SUSPECT)
-            .otherwise(GOOD)
-        )
+        totals, spread = _spread(t, var)
+        parts |= totals
+        flag = F.when(F.col(var).isNull(), MISSING).otherwise(_spread_flag(t, spread))
         new[f"{var}_qartod_attenuated_signal_test"] = F.when(F.col(DIRECTION) != "s", flag)
     if inversion_flag:
         code = F.col(inversion_flag)
@@ -152,10 +195,14 @@ def par_shadow(
     """SUSPECT where light is weaker than somewhere deeper; UNKNOWN for casts without the sensor."""
     if "qc_any" not in df.columns:
         df = whole_profile_tests(df, count_per_cast=var)
-    out = layout.max_from_bottom(df, var, "qc_deeper_max", source=source)
+    return shadow_flag(layout.max_from_bottom(df, var, "qc_deeper_max", source=source), var, min_par)
+
+
+def shadow_flag(df: DataFrame, var: str = "par", min_par: float = 5.0) -> DataFrame:
+    """``par_shadow_test`` from the largest value below (``qc_deeper_max``) and the cast's number of values (``qc_any``)."""
     shaded = (F.col(var) < F.col("qc_deeper_max")) & (F.col("qc_deeper_max") > min_par)
     flag = F.when(F.col("qc_any") == 0, UNKNOWN).when(shaded, SUSPECT).otherwise(GOOD)
-    return out.withColumn("par_shadow_test", flag).drop("qc_deeper_max", "qc_any")
+    return df.withColumn("par_shadow_test", flag).drop("qc_deeper_max", "qc_any")
 
 
 def spike(df: DataFrame, tests: Mapping[str, tuple[float, float]]) -> DataFrame:

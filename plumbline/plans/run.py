@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, functions as F
 
 from plumbline.config import QCConfig
+from plumbline.functions import flags
 from plumbline.operators import aggregate, casttests, greylist, layout, profiletests, rowtests
-from plumbline.operators.lookups import lookup
-from plumbline.schema import CAST, MEASURED_AT, STATIC_TIME
+from plumbline.schema import CAST, GOOD, MEASURED_AT, STATIC_TIME
+
 
 def attach_manual_qc(df: DataFrame, manual_qc: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Codes of the manual review on every row of the cast; NULL for casts without a review."""
@@ -32,22 +34,39 @@ def run_qc(
     cfg = cfg or QCConfig()
     tested = [v for v in cfg.tested() if v in data.columns]
     tests = {v: cfg.variables[v] for v in tested}
+    attenuated = {v: t.attenuated for v, t in tests.items() if t.attenuated}
+    light = "par" in tested
 
-    # Row by row, in the scan's stage. Only the bad-value flags need the raw values.
+    # Row by row, in the scan's stage, before values that later steps need not see.
     grouped = layout.assign_qc_group(data)
     rows = rowtests.null_sentinels(rowtests.bad_value(grouped, tested))
+    coded = rowtests.gross_range(rows, {v: t.gross_range for v, t in tests.items() if t.gross_range})
+    rules_early = _resolves(coded, cfg)
+    if rules_early:
+        coded = rowtests.query_flags(coded, cfg.query_rules)
 
-    # One row per cast.
-    cast_tables = []
+    # One row per cast from everything that is decided by cast; every log row and review of a cast counts.
+    facts = [
+        profiletests.profile_facts(rows, attenuated, "par" if light else None),
+        casttests.station_facts(rows, stations, cfg.station_depth),
+    ]
     if any(v in tested for v in cfg.do_cap.variables):
-        cast_tables.append(casttests.do_cap(rows, cfg.do_cap))
+        facts.append(casttests.do_cap_facts(rows, cfg.do_cap))
     if metadata is not None:
-        # Every log row of a cast counts, so flags come before the fold.
-        cast_tables.append(casttests.folded(casttests.process_log_flags(metadata), CAST))
+        facts.append(casttests.code_facts(casttests.process_log_flags(metadata)))
     if manual_qc is not None:
-        cast_tables.append(casttests.folded(casttests.manual_qc_codes(manual_qc), CAST))
+        facts.append(casttests.code_facts(casttests.manual_qc_codes(manual_qc)))
+    casts = casttests.by_cast(*facts)
+
+    # The codes so far are packed, so that rows are narrow where they are moved, sorted and windowed.
+    codes = [c for c in coded.columns if c not in grouped.columns]
+    words = flags.packed({c: F.col(c) for c in codes}, "qc_codes")
+    coded = coded.withColumns(words).drop(*codes)
+
+    terms = flags.unpacked(codes, "qc_codes")
 
-    rows = lookup(rows, casttests.deepest(stations), ["station"])
+    def unpacked(df: DataFrame) -> DataFrame:
+        return df.withColumns({c: F.expr(term) for c, term in terms.items()}).drop(*words)
 
     def whole_casts(part: DataFrame) -> DataFrame:
         out = profiletests.neighbour_tests(
@@ -56,25 +75,39 @@ def run_qc(
             {v: t.inversion for v, t in tests.items() if t.inversion},
             time,
         )
-        out = profiletests.whole_profile_tests(
-            out,
-            {v: t.attenuated for v, t in tests.items() if t.attenuated},
-            "sigma0_qartod_density_inversion_test" if "sigma0" in tested else None,
-            "par" if "par" in tested else None,
-        )
-        if "par" in tested:
-            out = profiletests.par_shadow(out, "par", cfg.par_shadow_min, part)
-        out = casttests.station_depth(out, cfg.station_depth, source=part)  # drops rows without a station
-        return layout.with_user_tests(out, cfg.user_tests)
-
-    out = layout.per_cast(rows, whole_casts, max_rows, sized=grouped, tables=cast_tables)
-    out = out.drop(STATIC_TIME, "station_depth")
-
-    # Row by row again, behind the shuffle, so that these columns are neither moved nor sorted.
-    out = rowtests.gross_range(out, {v: t.gross_range for v, t in tests.items() if t.gross_range})
-    out = rowtests.query_flags(out, cfg.query_rules)
-    sources = {v: aggregate.flag_sources(v, out.columns, cfg) for v in tested}
-    out = aggregate.aggregate_flags(out, sources)
+        if "sigma0" in tested:
+            out = profiletests.bottom_hit(out)
+        if light:
+            out = layout.max_from_bottom(out, "par", "qc_deeper_max", source=part)
+        return layout.with_user_tests(unpacked(out), cfg.user_tests) if cfg.user_tests else out
+
+    out = layout.per_cast(coded, whole_casts, max_rows, sized=grouped, tables=[casts]).drop(STATIC_TIME)
+
+    # Row by row again, behind the shuffle; the rules are joined while rows are narrow.
+    if grey is not None:
+        predicates = greylist.rule_predicates(grey)
+        out = greylist.with_rules(out, grey, predicates, source=grouped)
+    if cfg.user_tests:
+        terms = {}
+    valued = {v: F.expr(terms.get(f"{v}_hakai_bad_value_test", f"{v}_hakai_bad_value_test")) == GOOD for v in tested}
+    out = profiletests.attenuated_flags(out, attenuated, {v: ~c for v, c in valued.items()})
+    out = profiletests.shadow_flag(out, "par", cfg.par_shadow_min) if light else out.drop("qc_any")
+    out = casttests.at_station(out)
+    if not rules_early:
+        out = rowtests.query_flags(out, cfg.query_rules)
+    names = [c for c in [*out.columns, *terms] if c not in words]
+    out = aggregate.aggregate_flags(out, {v: aggregate.flag_sources(v, names, cfg) for v in tested}, valued, terms)
+    if terms:
+        out = unpacked(out)
     if grey is not None:
-        out = greylist.apply_grey_list(out, grey, source=grouped)
+        out = greylist.override(out, grey, predicates)
     return aggregate.override_bad(out, tested, cfg.bad_value_text)
+
+
+def _resolves(df: DataFrame, cfg: QCConfig) -> bool:
+    """Whether all query rules need only columns that are there."""
+    try:
+        df.select(*[F.expr(r.predicate) for r in cfg.query_rules])
+    except AnalysisException:
+        return False
+    return True
