@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from plumbline.operators.layout import rank_in
 from plumbline.operators.lookups import lookup, written
 from plumbline.schema import CAST, DEPTH
 
@@ -35,29 +36,44 @@ def manual_qc_status(
                       *flags, "last_drop_qced")
 
 
+FEW_VALUES = 10_000  # distinct values of a group that one task ranks
+CUTS = 64
+
+
 def lower_median(df: DataFrame, group: Sequence[str], value: str, name: str) -> DataFrame:
-    """Discrete median per group without holding a group in one task.
+    """Discrete median per group, exact, without ranking a group in one task.
 
-    Counts per whole metre find the metre that holds the middle rank; only its values are then ranked,
-    as counted distinct values.
+    Distinct values are counted first. Then rounds of histograms narrow each group to the bin that holds its middle rank,
+    until no group has more than FEW_VALUES values left, which are ranked. The bins of a round are cut by a mergeable
+    quantile sketch of the values that are left, so each round leaves about one in CUTS however the values lie.
     """
     group = list(group)
-    present = df.filter(F.col(value).isNotNull()).withColumn("metre", F.floor(value))
     w = W.partitionBy(*group)
-    running = w.orderBy("metre").rowsBetween(W.unboundedPreceding, W.currentRow)
-    metres = (
-        present.groupBy(*group, "metre").agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", F.sum("n").over(running))
-        .withColumn("rank", F.floor((F.sum("n").over(w) + 1) / 2))
-        .filter((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
-        .select(*group, "metre", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank_here"))
-    )
-    values = present.groupBy(*group, "metre", value).agg(F.count(F.lit(1)).alias("n")).join(metres, [*group, "metre"])
-    within = w.orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
+    values = written(
+        df.filter(F.col(value).isNotNull()).groupBy(*group, F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("n")), "values")
+    ranks = values.groupBy(*group).agg(F.floor((F.sum("n") + 1) / 2).alias("rank"), F.count(F.lit(1)).alias("left"))
+    ranks = written(ranks, "ranks")
+    while (ranks.agg(F.max("left")).first()[0] or 0) > FEW_VALUES:
+        shares = [i / CUTS for i in range(1, CUTS)]
+        cuts = values.groupBy(*group).agg(F.array_distinct(F.percentile_approx("value", shares, 100 * CUTS)).alias("cuts"))
+        # The groups are few next to the values; a group with very many of them is split by the join.
+        binned = written(
+            lookup(values, cuts, group, spread_by="value").withColumn("bin", rank_in(F.col("cuts"), F.col("value"))).drop("cuts"), "bins")
+        bins = binned.groupBy(*group, "bin").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("left"))
+        upto = F.sum("n").over(w.orderBy("bin").rowsBetween(W.unboundedPreceding, W.currentRow))
+        middle = (
+            bins.withColumn("upto", upto).join(ranks.drop("left"), group)
+            .filter((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
+            .select(*group, "bin", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"), "left"))
+        ranks = written(middle, "ranks")
+        values = written(lookup(binned, ranks.select(*group, "bin", F.lit(True).alias("middle")), [*group, "bin"], spread_by="value")
+                         .filter("middle").select(*group, "value", "n"), "values")
+        ranks = ranks.drop("bin")
+    within = w.orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
     return (
-        values.withColumn("upto", F.sum("n").over(within))
-        .filter(F.col("upto") >= F.col("rank_here"))
-        .groupBy(*group).agg(F.min(value).alias(name))
+        values.withColumn("upto", F.sum("n").over(within)).join(ranks, group)
+        .filter(F.col("upto") >= F.col("rank"))
+        .groupBy(*group).agg(F.min("value").alias(name))
     )
 
 

@@ -176,3 +176,34 @@ def test_station_review_is_ordered(spark):
 
     rows = registry.QUERIES["station_flag_review"](spark, "/root/testdata/sf0.01").select("flagged_profiles_count", "station").collect()
     assert rows and [tuple(r) for r in rows] == sorted(map(tuple, rows), key=lambda r: (-r[0], r[1]))
+
+
+def test_heavy_keys_are_split_by_their_share(spark):
+    """One station in a third of all rows: no task reads more than twice the median, and only that key is split."""
+    df = spark.range(120_000).selectExpr("id AS ctd_data_pk", "IF(id % 3 = 0, 'hot', concat('s', id % 4001)) AS station")
+    table = spark.range(4001).selectExpr("concat('s', id) AS station", "id AS v").union(spark.sql("SELECT 'hot', -1L"))
+    heavy = lookups.heavy_keys(df.select("station"), ["station"])
+    assert [h["qc_parts"] for h in heavy] == [pytest.approx(8 * lookups.PARTS / 3, abs=2)]
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        out = lookups.lookup(df, table, ["station"], small=False)
+        sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect())
+        assert sizes[-1] <= 2 * sizes[len(sizes) // 2] and sum(sizes) == 120_000
+        assert out.filter("v IS NULL").count() == 0 and out.filter("v = -1").count() == 40_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_median_of_very_many_values_in_one_metre(spark):
+    """10^6 different values within one metre, next to small groups, values on both sides of zero and equal values."""
+    df = spark.range(1_000_000).selectExpr("'many' AS g", "10 + ((id * 7919) % 1000003) / 1e7 AS v").union(
+        spark.range(30_001).selectExpr("'wide' AS g", "IF(id % 2 = 0, -1, 1) * pow(10.0D, (id % 200) - 100) * (1 + id) AS v")).union(
+        spark.range(50_000).selectExpr("'equal' AS g", "IF(id % 5 = 0, id / 7, 3.0D) AS v")).union(
+        spark.sql("SELECT * FROM VALUES ('few', 2.0D), ('few', 1.0D), ('none', NULL) t(g, v)"))
+    got = {r.g: r.m for r in reports.lower_median(df, ["g"], "v", "m").collect()}
+    want = {r.g: r.m for r in df.groupBy("g").agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY v)").alias("m")).collect()}
+    assert got == {g: m for g, m in want.items() if m is not None} and len(got) == 4
