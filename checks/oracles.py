@@ -549,6 +549,9 @@ def oracle_sql() -> dict[str, str]:
         pk(f"CASE WHEN conductivity IS NULL THEN 9 WHEN count(conductivity) {near} >= 4 "
            f"AND max(conductivity) {near} - min(conductivity) {near} < 0.02e0 THEN 3 ELSE 1 END AS conductivity_hakai_steady_test")
         + " FROM clean")
+    out["stored_by_cast"] = with_(
+        FLAGGED, CLEAN, f"inversions AS (SELECT *, {INVERSION}, {rate_sql('temperature')} FROM clean {G})", BOTTOM,
+        pk("temperature_qartod_rate_of_change_test", BOTTOM_FLAG, SHADOW) + f" FROM inversions i {BOTTOM_JOIN} {UP}")
     live = [(p, m) for p, m in MESSAGES if p.startswith("location") or "gross_range" in p]
     out["live_alerts"] = with_(
         FLAGGED, CLEAN, "tested AS (SELECT *, " + ", ".join(gross_sql(v) for v in GROSS) + " FROM clean)",

@@ -14,7 +14,7 @@ from plumbline.operators import aggregate, casttests, greylist, layout, profilet
 from plumbline.operators.lookups import lookup
 from plumbline.plans import alerts as alert_plan, batch, reports, run, selection
 from plumbline.schema import PK
-from plumbline.sources import files
+from plumbline.sources import files, stored
 from plumbline.streaming import incremental
 
 TESTED = list(C.VARIABLE_TESTS)
@@ -434,6 +434,21 @@ def snapshot(spark, sf):
     return back.select(PK, "hakai_id", "direction_flag", "depth", "temperature")
 
 
+@query
+def stored_by_cast(spark, sf):
+    """Tests over profiles on rows stored by cast, which stay where they are."""
+    folder = new_folder(spark, "by-cast")
+    stored.write_by_cast(profiles(spark, sf), folder, buckets=16)
+    rows = stored.read_by_cast(spark, folder).map(layout.assign_qc_group).map(
+        lambda d: rowtests.null_sentinels(rowtests.bad_value(d, TESTED)))
+
+    def tests(p):
+        out = profiletests.neighbour_tests(p, {"temperature": RATES["temperature"]}, INVERSIONS, "elapsed_s")
+        return profiletests.par_shadow(profiletests.bottom_hit(out), source=p)
+
+    return layout.per_cast(rows, tests).select(PK, "temperature_qartod_rate_of_change_test", "bottom_hit_test", "par_shadow_test")
+
+
 @query
 def snapshot_json(spark, sf):
     """Rows as JSON lines with ISO times, read back with the fixed schema."""

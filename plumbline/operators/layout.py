@@ -11,12 +11,16 @@ cast and the result does not depend on where the cuts are. Ids and cuts are tabl
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from plumbline.operators.lookups import written
 from plumbline.schema import CAST, CHUNK, DEPTH, DIRECTION, MEASURED_AT, PK, PROFILE, QC_GROUP, STATIC_TIME
 
+if TYPE_CHECKING:
+    from plumbline.sources.stored import StoredCasts
+
 MAX_ROWS_PER_CAST = 1_000_000  # casts up to this size stay whole; a chunk of a larger one holds about so many rows
 _SAMPLES_PER_CHUNK = 64
 
@@ -98,7 +102,7 @@ def with_chunks(df: DataFrame, rows_per_chunk: int) -> DataFrame:
 
 
 def per_cast(
-    df: DataFrame,
+    df: DataFrame | StoredCasts,
     fn: Callable[[DataFrame], DataFrame],
     max_rows: int | None = None,
     sized: DataFrame | None = None,
@@ -109,15 +113,21 @@ def per_cast(
     ``sized``: the same rows with less work in their plan, for counting.
     ``tables``: tables with one row per cast, left joined to the result. For ordinary casts this join
     uses the partitioning that is there; of the cut ones only the few matching rows take part.
+    Rows that are stored by cast (``sources.stored``) are neither counted nor moved.
     """
-    ids = large_casts(df if sized is None else sized, max_rows)
-    ordinary = df if ids is None else df.join(ids, CAST, "left_anti")
-    out = fn(ordinary.repartition(CAST))
+    if isinstance(df, DataFrame):
+        ids = large_casts(df if sized is None else sized, max_rows)
+        ordinary = (df if ids is None else df.join(ids, CAST, "left_anti")).repartition(CAST)
+        large = None if ids is None else df.join(ids, CAST, "left_semi")
+    else:
+        ordinary, large = df.ordinary, df.large
+        ids = None if large is None else written(large.select(CAST).distinct(), "large-casts")
+    out = fn(ordinary)
     for table in tables:  # left joins keep the partitioning by cast
         out = out.join(table, CAST, "left")
-    if ids is None:
+    if large is None:
         return out
-    cut = with_chunks(df.join(ids, CAST, "left_semi"), max_rows or MAX_ROWS_PER_CAST)
+    cut = with_chunks(large, max_rows or MAX_ROWS_PER_CAST)
     cut = fn(cut.repartition(CAST, DIRECTION, CHUNK))
     for table in tables:
         cut = cut.join(table.join(ids, CAST, "left_semi"), CAST, "left")

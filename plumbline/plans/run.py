@@ -9,6 +9,7 @@ from plumbline.config import QCConfig
 from plumbline.functions import flags
 from plumbline.operators import aggregate, casttests, greylist, layout, profiletests, rowtests
 from plumbline.schema import CAST, GOOD, MEASURED_AT, STATIC_TIME
+from plumbline.sources.stored import StoredCasts
 
 
 def attach_manual_qc(df: DataFrame, manual_qc: DataFrame, max_rows: int | None = None) -> DataFrame:
@@ -18,7 +19,7 @@ def attach_manual_qc(df: DataFrame, manual_qc: DataFrame, max_rows: int | None =
 
 
 def run_qc(
-    data: DataFrame,
+    data: DataFrame | StoredCasts,
     stations: DataFrame,
     metadata: DataFrame | None = None,
     manual_qc: DataFrame | None = None,
@@ -29,21 +30,27 @@ def run_qc(
 ) -> DataFrame:
     """All tests, aggregated flags, overrides. Order of the steps matters and is fixed.
 
+    ``data`` may be rows stored by cast, which are then not moved.
+
     ``time`` is the clock of the rate-of-change test. ``max_rows`` is the size above which a cast is cut.
     """
     cfg = cfg or QCConfig()
-    tested = [v for v in cfg.tested() if v in data.columns]
+    table = data if isinstance(data, DataFrame) else data.rows()
+    tested = [v for v in cfg.tested() if v in table.columns]
     tests = {v: cfg.variables[v] for v in tested}
     attenuated = {v: t.attenuated for v, t in tests.items() if t.attenuated}
     light = "par" in tested
 
     # Row by row, in the scan's stage, before values that later steps need not see.
-    grouped = layout.assign_qc_group(data)
-    rows = rowtests.null_sentinels(rowtests.bad_value(grouped, tested))
-    coded = rowtests.gross_range(rows, {v: t.gross_range for v, t in tests.items() if t.gross_range})
-    rules_early = _resolves(coded, cfg)
-    if rules_early:
-        coded = rowtests.query_flags(coded, cfg.query_rules)
+    def clean(df: DataFrame) -> DataFrame:
+        return rowtests.null_sentinels(rowtests.bad_value(layout.assign_qc_group(df), tested))
+
+    def row_tests(df: DataFrame) -> DataFrame:
+        out = rowtests.gross_range(clean(df), {v: t.gross_range for v, t in tests.items() if t.gross_range})
+        return rowtests.query_flags(out, cfg.query_rules) if rules_early else out
+
+    grouped, rows = layout.assign_qc_group(table), clean(table)
+    rules_early = _resolves(rows, cfg)
 
     # One row per cast from everything that is decided by cast; every log row and review of a cast counts.
     facts = [
@@ -59,12 +66,15 @@ def run_qc(
     casts = casttests.by_cast(*facts)
 
     # The codes so far are packed, so that rows are narrow where they are moved, sorted and windowed.
-    codes = [c for c in coded.columns if c not in grouped.columns]
+    codes = [c for c in row_tests(table).columns if c not in grouped.columns]
     words = flags.packed({c: F.col(c) for c in codes}, "qc_codes")
-    coded = coded.withColumns(words).drop(*codes)
-
     terms = flags.unpacked(codes, "qc_codes")
 
+    def packed(df: DataFrame) -> DataFrame:
+        return row_tests(df).withColumns(words).drop(*codes)
+
+    coded = packed(data) if isinstance(data, DataFrame) else data.map(packed)
+
     def unpacked(df: DataFrame) -> DataFrame:
         return df.withColumns({c: F.expr(term) for c, term in terms.items()}).drop(*words)
 
