@@ -77,6 +77,15 @@ def joined_to_groups(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
     return common.unionByName(others).drop("__key", "n")
 
 
+def frequent_values(df: DataFrame, column: str, most: int = 256, counters: int = 8192) -> DataFrame:
+    """The frequent values of a column of whole numbers, at most ``most`` rows, written: from a sketch of fixed size.
+
+    A value in more than about one in 1,200 rows is among them.
+    """
+    top = df.select(F.expr(f"approx_top_k(`{column}`, {most}, {counters})").alias("top"))
+    return saved(top.select(F.explode("top").alias("t")).select(F.col("t.item").alias(column)), "frequent")
+
+
 def text_bytes(column: pa.Array) -> Iterator[memoryview | None]:
     """UTF-8 bytes of a string or binary column, without decoding or copying; None where null."""
     if isinstance(column, pa.ChunkedArray):

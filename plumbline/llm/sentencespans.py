@@ -11,9 +11,10 @@ share hold a run wherever they begin (the first cut comes within 2 * WINDOW - 2
 MIN_WORDS + WINDOW - 1 more, and WINDOW words are left). Since runs start and end at every part, a repeated
 passage goes whole but for the words at its ends, and only its first occurrence stays.
 
-Runs are written once. The count is a plain hash aggregate that adds up before the shuffle; the join that
-brings the verdict back is one on the hash, whose skewed partitions Spark splits at run time, so a passage in
-a third of all documents is no single task. Only the runs of one document are ever gathered together.
+Runs are written once and move once: a window over equal hashes finds the first document of each. The few most
+frequent hashes, found by a sketch of fixed size, do not move; their first documents come from partial sums and are
+broadcast. So a passage in a third of all documents is no single task. Only the runs of one document are ever
+gathered together.
 
 Defined cases: a null text stays null and has no part; a text with fewer parts or words than one run stays as
 it is; rows without an id are neither compared nor changed; rows with the same id count as one document, each with
@@ -29,9 +30,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from plumbline.llm.common import saved, table, text_bytes
+from plumbline.llm.common import frequent_values, saved, table, text_bytes
 from plumbline.llm.shingles import _mixed, _powers
 
 RUN = 3
@@ -175,13 +176,21 @@ def hashed_runs(documents: DataFrame) -> DataFrame:
 
 
 def repeats(found: DataFrame) -> DataFrame:
-    """(doc_id, version, spans): the runs of a text that are not the first of their kind."""
+    """(doc_id, version, spans): the runs of a text that are not the first of their kind.
+
+    Each run moves once: a window over equal runs finds the first document. The few most frequent runs do not move at
+    all: their first documents are found by partial sums and broadcast.
+    """
     own = found.filter(~F.col("again"))
-    elsewhere = own.groupBy("run").agg(
-        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc")).filter("n > 1").select("run", "first_doc")
-    later = own.join(elsewhere, "run").filter("doc_id > first_doc").select("doc_id", "version", "span")
+    hot = F.broadcast(frequent_values(own, "run"))
+    first = F.min("doc_id").over(W.partitionBy("run"))
+    rest = own.join(hot, "run", "left_anti").select("run", "doc_id", "version", "span").withColumn("first_doc", first)
+    common = own.join(hot, "run", "left_semi")
+    firsts = F.broadcast(common.groupBy("run").agg(F.min("doc_id").alias("first_doc")))
+    later = rest.unionByName(common.join(firsts, "run").select(rest.columns)).filter("doc_id > first_doc")
     within = found.filter("again").select("doc_id", "version", "span")
-    return later.unionByName(within).groupBy("doc_id", "version").agg(F.collect_list("span").alias("spans"))
+    spans = later.select("doc_id", "version", "span").unionByName(within)
+    return spans.groupBy("doc_id", "version").agg(F.collect_list("span").alias("spans"))
 
 
 def deduplicated(documents: DataFrame) -> DataFrame:
