@@ -75,8 +75,9 @@ def _lower_words(sentence: str) -> list[str]:
     return words
 
 
-def cut(text: str) -> tuple[list[str], list[str], np.ndarray, np.ndarray]:
-    """Sentences, words in lower case with their hashes, and the first word of each part and the number of words."""
+def cut(text: str) -> tuple[list[str], np.ndarray, list[str], np.ndarray, np.ndarray]:
+    """Sentences and their numbers of words, words in lower case with their hashes, and the first word of each part
+    and the number of words."""
     found = _SENTENCE.findall(text)
     own = [_lower_words(s) for s in found]
     words = [w for o in own for w in o]
@@ -88,16 +89,15 @@ def cut(text: str) -> tuple[list[str], list[str], np.ndarray, np.ndarray]:
     firsts = ends - sizes
     places[firsts[sizes > 0]] = False
     bounds = np.sort(np.concatenate([firsts, np.flatnonzero(places), [len(words)]]))
-    return found, words, hashes, bounds
+    return found, sizes, words, hashes, bounds
 
 
 def sentences(text: str) -> tuple[list[str], list[list[str]]]:
     """Parts that together are the text, and the words of each in lower case."""
-    found, words, _, bounds = cut(text)
+    found, sizes, words, _, bounds = cut(text)
     edges = bounds.tolist()
     parts, k, at = [], 0, 0
-    for sentence in found:
-        n = len(_lower_words(sentence))
+    for sentence, n in zip(found, sizes.tolist()):
         if edges[k + 1] >= at + n:  # not cut any further
             parts.append(sentence)
             k += 1
@@ -156,7 +156,7 @@ def hashed_runs(documents: DataFrame) -> DataFrame:
         for batch in batches:
             docs, versions, columns = [], [], [[], [], []]
             for doc, text, version in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), batch.column(2).to_pylist()):
-                _, _, hashes, bounds = cut(str(text or b"", "utf-8", "replace"))
+                *_, hashes, bounds = cut(str(text or b"", "utf-8", "replace"))
                 found, a, b = runs(hashes, bounds)
                 if len(found):
                     again = np.ones(len(found), bool)
@@ -207,12 +207,13 @@ def deduplicated(documents: DataFrame) -> DataFrame:
                     out.append(None)
                     continue
                 whole = str(text, "utf-8", "replace")
-                parts = sentences(whole)[0]
-                totals.append(len(parts))
-                if not spans[i].is_valid:
+                if not spans[i].is_valid:  # only its number of parts is asked for
+                    totals.append(len(cut(whole)[-1]) - 1)
                     removed.append(0)
                     out.append(whole)
                     continue
+                parts = sentences(whole)[0]
+                totals.append(len(parts))
                 own = spans[i].values.to_numpy()
                 covered = np.zeros(len(parts) + 1, np.int64)
                 np.add.at(covered, own // SPAN, 1)
