@@ -9,7 +9,8 @@ Rows with equal codes are one index entry with their k smallest ids, and queries
 once; whatever share of the table one code holds, it is one candidate. All steps are DataFrame operations, and
 the table of the best so far is written after each, so a lost executor costs no earlier step.
 
-Defined cases: rows without an id or a code are neither found nor searched for; ties go to the smaller id; repeated
+Defined cases: rows without an id, an embedding or a code are neither found nor searched for; a null component counts as 0, and
+vectors of any length have a code (see ``sign_code``); ties go to the smaller id; repeated
 rows count once; fewer than k rows give fewer results; an empty table gives none.
 """
 
@@ -29,9 +30,18 @@ _PROBES = 1000  # most probes of each query in a step, beyond the first radii, w
 
 
 def sign_code(embedding: str) -> Column:
-    """Bit i is set where component i is positive, of the first 64; null without an embedding."""
-    return F.expr(
-        f"aggregate(transform(slice({embedding}, 1, {BITS}), (x, i) -> if(x > 0, shiftleft(1L, i), 0L)), 0L, (a, b) -> a | b)")
+    """Bit i is set where the sum of the components i, i + 64, i + 128, ... is positive; null without an embedding.
+
+    So all components of a vector count; in one of up to 64 each bit is the sign of one component. A missing component
+    adds nothing.
+    """
+    e = f"transform({embedding}, x -> coalesce(CAST(x AS DOUBLE), 0D))"
+    piece = lambda at: f"slice({e}, {at}, {BITS})"
+    folded = (
+        f"aggregate(sequence(1, CAST(ceil(size({embedding}) / {BITS}) AS INT) - 1), {piece('1')}, "
+        f"(sums, k) -> zip_with(sums, {piece(f'k * {BITS} + 1')}, (a, b) -> a + coalesce(b, 0D)))")
+    sums = f"if(size({embedding}) <= {BITS}, {e}, {folded})"
+    return F.expr(f"aggregate(transform({sums}, (x, i) -> if(x > 0, shiftleft(1L, i), 0L)), 0L, (a, b) -> a | b)")
 
 
 def _even(m: int) -> list[tuple[int, int]]:
@@ -166,10 +176,12 @@ def op3_code_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP3_SQL = f"""
 WITH signs AS (
-  SELECT vec_id, embedding FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+  SELECT vec_id, list_transform(range(1, {BITS + 1}), lambda b: coalesce(
+    list_sum(list_transform(embedding[b:len(embedding):{BITS}], lambda x: coalesce(CAST(x AS DOUBLE), 0))) > 0, FALSE)) AS bits
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
 ), pairs AS (
   SELECT q.vec_id AS query_id, i.vec_id,
-    CAST(list_sum(list_transform(range(1, {BITS + 1}), lambda b: CAST(COALESCE(q.embedding[b] > 0, FALSE) <> COALESCE(i.embedding[b] > 0, FALSE) AS INTEGER))) AS INTEGER) AS distance
+    CAST(list_sum(list_transform(range(1, {BITS + 1}), lambda b: CAST(q.bits[b] <> i.bits[b] AS INTEGER))) AS INTEGER) AS distance
   FROM signs q CROSS JOIN signs i WHERE q.vec_id % 20 = 0
 ), ranked AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER) AS rank, vec_id, distance FROM pairs

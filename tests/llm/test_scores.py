@@ -1,5 +1,6 @@
 """Quality and toxicity by held-out accuracy, mixture and code search against brute force, the pipeline."""
 
+import random
 import zlib
 
 import duckdb
@@ -192,3 +193,27 @@ def test_pipeline_of_odd_documents(spark, odd_documents, no_documents):
 def test_every_operator_is_registered():
     names = set(entry.queries())
     assert {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{k}" for k in range(1, 11)} and "pipeline" in names
+
+
+def test_codes_of_vectors_of_any_length(spark, tmp_path):
+    """All components count: 72, 100 and 200 of them, few, none, nulls among them; in Spark, by hand and in SQL."""
+    rng = random.Random(9)
+    rows = [(i, [round(rng.uniform(-1, 1), 2) for _ in range(n)]) for i, n in enumerate([64, 72, 100, 200, 3, 1, 128] * 12)]
+    one = [1.0] * 64
+    rows += [(100, one + [-9.0] * 8), (101, one + [9.0] * 8), (120, []), (121, None), (140, [None] * 70 + [1.0]), (None, one)]
+    frame = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, label int")
+    frame.coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+
+    def by_hand(v):
+        v = np.array([np.nan if c is None else c for c in v], np.float32).astype(np.float64)
+        v = np.where(np.isnan(v), 0, v)
+        return sum(1 << b for b in range(64) if sum(v[b::64].tolist()) > 0)
+
+    got = {r.vec_id: r.code for r in frame.select("vec_id", multiindex.sign_code("embedding").alias("code")).collect()}
+    assert got[121] is None and got[100] != got[101]
+    assert all(got[i] & (2**64 - 1) == by_hand(v) for i, v in rows if i is not None and v is not None)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    names = ["query_id", "rank", "vec_id", "distance"]
+    found = multiindex.op3_code_search(spark, str(tmp_path)).select(*names).collect()
+    assert sorted(map(tuple, found)) == sorted(con.execute(multiindex.OP3_SQL).fetchall())
