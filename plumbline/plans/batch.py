@@ -16,7 +16,7 @@ from plumbline.plans.alerts import alerts
 from plumbline.plans.run import run_qc
 from plumbline.plans.selection import advance_stage, rows_for_casts
 from plumbline.schema import CAST, MEASURED_AT, PK, level1, level2
-from plumbline.sources.files import flags_json
+from plumbline.sources.files import flags_json, job_folder
 
 
 def quality_controlled(
@@ -41,14 +41,15 @@ def run_batch(
     manual_qc: DataFrame | None = None, grey: DataFrame | None = None, cfg: QCConfig | None = None,
     time: str = MEASURED_AT, min_date: str | None = None, max_rows: int | None = None,
 ) -> None:
-    """Write ``flags``, ``documents``, ``alerts`` and ``casts`` of the selected casts."""
+    """Write ``flags``, ``documents``, ``alerts`` and ``casts`` of the selected casts. Intermediate tables go at the end."""
     spark = data.sparkSession
-    qced = quality_controlled(data, casts, stations, metadata, manual_qc, grey, cfg, time, max_rows)
-    qced.write.mode("overwrite").parquet(f"{out}/flags")
-    done = spark.read.schema(qced.schema).parquet(f"{out}/flags")
-    taken = advance_stage(casts)
-    with_rows = taken.join(done.select(CAST).distinct(), CAST, "left_semi")
-    flags_json(with_rows, upload_rows(done, data.columns, cfg), sized=done.select(CAST, PK)).write.mode(
-        "overwrite").json(f"{out}/documents")
-    alerts(done, taken, min_date).write.mode("overwrite").parquet(f"{out}/alerts")
-    taken.write.mode("overwrite").parquet(f"{out}/casts")
+    with job_folder(spark):
+        qced = quality_controlled(data, casts, stations, metadata, manual_qc, grey, cfg, time, max_rows)
+        qced.write.mode("overwrite").parquet(f"{out}/flags")
+        done = spark.read.schema(qced.schema).parquet(f"{out}/flags")
+        taken = advance_stage(casts)
+        with_rows = taken.join(done.select(CAST).distinct(), CAST, "left_semi")
+        flags_json(with_rows, upload_rows(done, data.columns, cfg), sized=done.select(CAST, PK)).write.mode(
+            "overwrite").json(f"{out}/documents")
+        alerts(done, taken, min_date).write.mode("overwrite").parquet(f"{out}/alerts")
+        taken.write.mode("overwrite").parquet(f"{out}/casts")

@@ -5,6 +5,10 @@ from __future__ import annotations
 import functools
 import os
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
@@ -143,14 +147,33 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="plumbline-")
 
 
+_JOB: ContextVar[str | None] = ContextVar("job", default=None)
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for checkpoints and intermediate tables: ``spark.checkpoint.dir`` of the session.
+    """Folder for checkpoints and intermediate tables: that of the job, else ``spark.checkpoint.dir`` of the session.
 
     Only a local session without that setting gets a temporary folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = _JOB.get() or spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return "file://" + os.path.abspath(_local_folder())
+
+
+@contextmanager
+def job_folder(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables of a job go to a folder of its own, which is deleted at the end.
+
+    Everything the job returns must be written by then.
+    """
+    path = f"{shared_folder(spark)}/job-{uuid.uuid4().hex}"
+    token = _JOB.set(path)
+    try:
+        yield path
+    finally:
+        _JOB.reset(token)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -1,5 +1,9 @@
 import json
+import os
 
+import pytest
+
+from plumbline.operators import lookups
 from plumbline.sources import files
 
 
@@ -25,3 +29,18 @@ def test_parquet_side_tables(spark, tmp_path):
     assert files.read_manual_qc(spark, str(tmp_path / "mq")).select("par_flag", "flc_flag").first() == ("SVC", None)
     spark.sql("SELECT 'a' hakai_id, 'Static' cast_type, 'ok' process_log, 7 n").write.parquet(str(tmp_path / "md"))
     assert files.read_metadata(spark, str(tmp_path / "md")).first() == ("a", "Static", "ok")
+
+
+def test_a_job_leaves_no_intermediate_tables(spark, tmp_path):
+    """Also after a failure; what the job wrote elsewhere stays."""
+    folder = files.shared_folder(spark).removeprefix("file://")
+    before = set(os.listdir(folder))
+    with files.job_folder(spark) as path:
+        small = lookups.written(spark.range(5), "small")
+        assert files.shared_folder(spark) == path and set(os.listdir(folder)) != before
+        small.write.parquet(str(tmp_path / "out"))
+    with pytest.raises(ValueError):
+        with files.job_folder(spark):
+            lookups.written(spark.range(5), "small")
+            raise ValueError
+    assert set(os.listdir(folder)) == before and spark.read.parquet(str(tmp_path / "out")).count() == 5
