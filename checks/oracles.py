@@ -264,10 +264,13 @@ def run_ctes() -> list[str]:
     qced = "qced AS (SELECT *, " + ", ".join(
         f"CASE WHEN {v}_hakai_bad_value_test IN (3, 4, 9) THEN {v}_hakai_bad_value_test ELSE {v}_grey_level_1 END AS {v}_final_level_1"
         for v in TESTED) + " FROM overridden)"
-    return [
+    steps = [
         FLAGGED, CLEAN, inversions, BOTTOM, tests, STATION, *[cap_cte(v) for v in CAP], f"logs AS ({log_sql()})",
         f"manual AS ({MANUAL_SELECT})", joined, levels, GREY_HIT.format(source="levels"), grey_folds(), overridden, qced,
     ]
+    # Steps that several others read are computed once.
+    shared = ("clean AS (", "inversions AS (", "levels AS (", "hit AS (")
+    return [s.replace(" AS (", " AS MATERIALIZED (", 1) if s.startswith(shared) else s for s in steps]
 
 
 FINAL_FLAGS = ", ".join(f"{v}_final_level_1 AS {v}_flag_level_1, {v}_final_text AS {v}_flag" for v in TESTED)
