@@ -44,3 +44,17 @@ def test_a_job_leaves_no_intermediate_tables(spark, tmp_path):
             lookups.written(spark.range(5), "small")
             raise ValueError
     assert set(os.listdir(folder)) == before and spark.read.parquet(str(tmp_path / "out")).count() == 5
+
+
+def test_json_copies_take_a_small_part_of_their_text(spark, tmp_path):
+    """Compressed, several files where there are many rows, and the same rows when read back."""
+    rows = files.prepared(spark).range(3000).selectExpr(
+        "id AS ctd_data_pk", "concat('c', id % 7) AS hakai_id", "date_format(timestamp_seconds(id), \"yyyy-MM-dd'T'HH:mm:ss'Z'\") AS measurement_dt",
+        "id / 4 AS depth", "CAST(IF(id % 3 = 0, NULL, id % 5) AS DOUBLE) AS temperature")
+    files.write_snapshot(rows, str(tmp_path / "json"), fmt="json")
+    found = [p for p in (tmp_path / "json").iterdir() if p.name.startswith("part-")]
+    text = sum(len(json.dumps(r.asDict())) for r in rows.collect())
+    assert all(p.name.endswith(".json.gz") for p in found) and sum(p.stat().st_size for p in found) < text / 4
+    back = files.read_ctd_data(spark, str(tmp_path / "json"), "json").select(*rows.columns)
+    want = rows.withColumn("measurement_dt", rows.measurement_dt.cast("timestamp"))
+    assert back.exceptAll(want).isEmpty() and back.count() == 3000
