@@ -50,3 +50,23 @@ def test_large_casts_lie_apart(spark, tmp_path):
         view(spark, SF, "grey_list"), time="elapsed_s", max_rows=205).select("ctd_data_pk", *FINAL)
     bag = lambda df: sorted(map(str, df.collect()))
     assert bag(got) == bag(qced(spark, SF).select("ctd_data_pk", *FINAL))
+
+
+def test_buckets_are_written_without_a_sort(spark, tmp_path):
+    """Each task writes one bucket, so whole rows need not be sorted, and spilled, by it."""
+    rows = spark.range(4000).selectExpr("id AS ctd_data_pk", "concat('c', id % 37) AS hakai_id", "id / 3 AS depth")
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    with stored._unsorted(spark):
+        name = stored._name(str(tmp_path / "plan"))
+        spark.sql(f"CREATE TABLE {name} (ctd_data_pk BIGINT, hakai_id STRING, depth DOUBLE) USING parquet "
+                  f"CLUSTERED BY (hakai_id) INTO 4 BUCKETS LOCATION '{tmp_path / 'plan'}'")
+        rows.repartition(4, "hakai_id").createOrReplaceTempView("by_cast_rows")
+        plan = spark.sql(f"EXPLAIN INSERT INTO {name} SELECT * FROM by_cast_rows").first()[0]
+    spark.catalog.dropTempView("by_cast_rows")
+    spark.sql(f"DROP TABLE {name}")
+    assert "InsertIntoHadoopFsRelationCommand" in plan and "Sort" not in plan
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    stored.write_by_cast(rows, str(tmp_path / "c"), buckets=4)
+    found = [p.name for p in (tmp_path / "c" / "ordinary").iterdir() if p.name.startswith("part-")]
+    assert len(found) == 4 and all("zstd" in n for n in found)
+    assert stored.read_by_cast(spark, str(tmp_path / "c")).ordinary.exceptAll(rows).isEmpty()
