@@ -250,3 +250,20 @@ def test_user_tests_see_beyond_their_chunk(spark, back, ahead):
             assert r.n == n and r.below == below
             assert r.above == (None if above is None else pytest.approx(above))
         assert "qc_halo" not in got[0].asDict()
+
+
+def test_rows_of_the_registered_user_test_are_narrow(spark, monkeypatch):
+    """Casts are cut there, and cut casts are written: only with what the test needs."""
+    from checks import registry
+    from plumbline import schema as S
+
+    widths, real = {}, layout.written
+    monkeypatch.setattr(layout, "written", lambda d, name: widths.setdefault(name, set(d.columns)) and real(d, name))
+    lines = spark.range(600).selectExpr(
+        "id AS l_orderkey", "id * 7 AS l_partkey", "id % 2 AS l_suppkey", "1 AS l_linenumber", "CAST(id % 50 AS DOUBLE) AS l_quantity",
+        "1000.0D AS l_extendedprice", "0.05D AS l_discount", "0.02D AS l_tax", "'A' AS l_returnflag", "'F' AS l_linestatus",
+        "timestamp'1996-03-01 00:00:00' AS l_shipdate")
+    monkeypatch.setattr(registry, "profiles", lambda spark, sf: registry.view(spark, "", "ctd_profile", lines))
+    out = registry.user_test(spark, "")
+    assert out.count() == 600
+    assert widths["cut-casts"] == {*S.QC_GROUP, S.DEPTH, S.PK, S.CHUNK, "conductivity"}
