@@ -267,3 +267,19 @@ def test_rows_of_the_registered_user_test_are_narrow(spark, monkeypatch):
     out = registry.user_test(spark, "")
     assert out.count() == 600
     assert widths["cut-casts"] == {*S.QC_GROUP, S.DEPTH, S.PK, S.CHUNK, "conductivity"}
+
+
+def test_casts_of_a_run_are_summed_up_once(spark, monkeypatch):
+    """The sums by cast are hashed and not sorted, and also tell the sizes of casts, so rows are not counted again."""
+    from checks import registry
+    from plumbline.plans import run
+
+    tables, counted = [], []
+    keep, count = run.written, layout.large_casts
+    monkeypatch.setattr(run, "written", lambda t, name: tables.append(t) or keep(t, name))
+    monkeypatch.setattr(layout, "large_casts", lambda df, max_rows=None: counted.append(df.columns) or count(df, max_rows))
+    registry.qced(spark, "/root/testdata/sf0.001")
+    assert len(tables) == 1 and len(counted) == 1 and layout.ROWS in counted[0]
+    plan = tables[0]._jdf.queryExecution().executedPlan().toString()
+    sums = [x for x in plan.splitlines() if "Aggregate(" in x and "qc_of_par" in x]
+    assert sums and not any("ObjectHashAggregate" in x for x in sums)
