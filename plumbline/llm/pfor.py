@@ -179,9 +179,9 @@ def write(
             return pa.RecordBatch.from_arrays([pa.array([f"{number:016x}"]), binary([content])], ["shard", "value"])
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
+            for doc, ids in zip(batch.column(0).to_pylist(), own.encode_all(texts(batch.column(1)))):
                 docs.append(doc)
-                found.append(own.encode(text) + end)
+                found.append(ids + end)
                 size += len(found[-1]) // 4
                 if size >= shard_ids:
                     yield file()
@@ -200,12 +200,6 @@ def write(
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Per document of the files: id, ids before it, number of ids, checksum of its ids."""
 
-    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            heads = [struct.unpack_from(_HEADER, memoryview(c.as_buffer())) for c in batch.column(0)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([h[1] for h in heads], pa.int64()), pa.array([h[3] for h in heads], pa.int64())], ["shard", "total"])
-
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column(0):
@@ -220,9 +214,10 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                      pa.array(crcs, pa.int64())], ["shard", "doc_id", "first", "n_tokens", "ids_crc32"])
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
-    sizes = files.mapInArrow(totals, "shard long, total long").orderBy("shard").collect()  # one row per file
-    starts = accumulate((r["total"] for r in sizes), initial=0)
-    offsets = spark.createDataFrame([(r["shard"], s) for r, s in zip(sizes, starts)], "shard long, shard_start long")
+    heads = files.select(F.substring("content", 1, _HEADER_SIZE).alias("head")).collect()  # one row per file
+    sizes = sorted((number, n) for _, number, _, n, _, _ in (struct.unpack(_HEADER, r["head"]) for r in heads))
+    starts = accumulate((n for _, n in sizes), initial=0)
+    offsets = spark.createDataFrame([(number, s) for (number, _), s in zip(sizes, starts)], "shard long, shard_start long")
     found = files.mapInArrow(documents, "shard long, doc_id long, first long, n_tokens long, ids_crc32 long")
     return found.join(F.broadcast(offsets), "shard").select(
         "doc_id", (F.col("shard_start") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")

@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from plumbline.llm import packing, pfor
+from plumbline.llm import packing, pfor, tokens
 from plumbline.llm.common import new_path
 from plumbline.llm.tokens import Encoder
 
@@ -23,6 +23,39 @@ def test_parts_give_the_ids_of_the_text(split, text):
     assert own.encode(text) == own.whole(text)
 
 
+@pytest.mark.parametrize("split", ["words", "byte_level"])
+@settings(max_examples=200, deadline=None)
+@given(found=st.lists(st.text(alphabet=st.sampled_from(list("  \n'strevmldSTRE.,!*$%-_09aé\x00\x7f\t\u0301(«")), max_size=40), max_size=8),
+       together=st.sampled_from([1, 30, 8_000_000]))
+def test_texts_together_give_the_ids_of_each(split, found, together):
+    own = ENCODERS[split]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(tokens, "TOGETHER", together)
+        assert list(own.encode_all(found)) == [own.whole(t) for t in found]
+
+
+@pytest.mark.parametrize("split,path", [("words", WORD), ("byte_level", BYTE)])
+def test_a_full_memory_keeps_its_newer_half_and_the_ids(monkeypatch, split, path):
+    monkeypatch.setattr(tokens, "MAX_REMEMBERED", 40)
+    own = Encoder(path, split)
+    rows = [f"the word{k % 7} one{'abcdefghij'[k % 10]} heat{'*' * (k % 5)},\nand x{k} the" for k in range(60)]
+    for some in ([t] for t in rows):
+        assert list(own.encode_all(some)) == [own.whole(t) for t in some]
+        assert own.encode(some[0]) == own.whole(some[0])
+    kept = [own._words, own._later, own._words._older, own._later._older]
+    assert sum(map(len, kept)) < 100 and "x0" not in {w for k in kept for w in k}
+
+
+@pytest.mark.parametrize("split,path", [("words", WORD), ("byte_level", BYTE)])
+def test_the_library_is_asked_once_for_marks_and_not_for_words(monkeypatch, split, path):
+    own, asked = Encoder(path, split), []
+    library = tokens._Words._library
+    monkeypatch.setattr(tokens._Words, "_library", lambda self, part: asked.append(part) or library(self, part))
+    text = "heat*** more$$$ don't heat%%% l'eau one,two"
+    assert list(own.encode_all([text] * 50)) == [own.whole(text)] * 50
+    assert set(asked) <= {"***", "$$$", "%%%", "'t", "'", ","} and len(asked) == len(set(asked))
+
+
 @pytest.mark.parametrize("split,path", [("words", WORD), ("byte_level", BYTE)])
 def test_strings_of_special_tokens_give_what_the_untouched_library_gives(split, path):
     from tokenizers import Tokenizer
@@ -96,6 +129,19 @@ def test_token_files(request, spark, name):
     assert got == sorted(want)
 
 
+def test_the_files_go_to_python_once(spark, documents, monkeypatch):
+    path = new_path(spark, "test")
+    pfor.write(documents, path, BYTE, "byte_level", shard_ids=200)
+    calls = []
+    frame = type(documents)
+    whole = frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, *a, **k: calls.append(a) or whole(self, *a, **k))
+    got = pfor.read(spark, path).orderBy("start").collect()
+    assert len(calls) == 1
+    assert [r.start for r in got] == [sum(r.n_tokens for r in got[:k]) for k in range(len(got))]
+    assert [r.doc_id for r in got] == sorted(r.doc_id for r in documents.collect())
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.lists(st.one_of(st.integers(0, 2**32 - 1), st.integers(0, 300)), max_size=200), min_size=1, max_size=6),
        st.sampled_from([64, 128, 1024]))
