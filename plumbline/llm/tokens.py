@@ -132,12 +132,18 @@ class Encoder:
         if self._split is None or any(c in text for c in self._whole):
             return self.whole(text)
         self._forget()
+        first, later = self._words.__getitem__, self._later.__getitem__
         if self._split == "words":
-            return b"".join(map(self._words.__getitem__, text.split()))
+            return b"".join(map(first, text.split()))
         if self._odd_blanks(text):
-            return b"".join(map(self._words.__getitem__, _BYTE_LEVEL.findall(text)))
-        first, *parts = text.split(" ")
-        return b"".join([self._lines(first, self._words), *(self._lines(p, self._later) for p in parts)])
+            return b"".join(map(first, _BYTE_LEVEL.findall(text)))
+        ids = []
+        for line in text.split("\n"):
+            word, *words = line.split(" ")
+            ids.append(first(word))
+            ids += map(later, words)
+            ids.append(first("\n"))
+        return b"".join(ids[:-1])
 
     def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
         """Ids of each text, as ``encode`` gives them; a word that comes often in neighbouring texts is looked up once."""
@@ -162,8 +168,10 @@ class Encoder:
         return b"".join([words[first], *(self._words["\n"] + self._words[o] for o in others)])
 
     def _together(self, texts: list[str]) -> Iterator[bytes]:
+        # A text that is longer than all texts taken together should be is encoded line by line.
         plain = [
-            self._split == "byte_level" and not any(c in t for c in self._whole) and not self._odd_blanks(t) for t in texts]
+            self._split == "byte_level" and len(t) <= TOGETHER and not any(c in t for c in self._whole)
+            and not self._odd_blanks(t) for t in texts]
         found = self._by_different_parts([t for t, p in zip(texts, plain) if p])
         for text, p in zip(texts, plain):
             yield next(found) if p else self.encode(text)

@@ -34,6 +34,16 @@ def test_texts_together_give_the_ids_of_each(split, found, together):
         assert list(own.encode_all(found)) == [own.whole(t) for t in found]
 
 
+def test_a_very_long_text_is_encoded_alone(monkeypatch):
+    monkeypatch.setattr(tokens, "TOGETHER", 50)
+    own, seen = Encoder(BYTE, "byte_level"), []
+    by_parts = Encoder._by_different_parts
+    monkeypatch.setattr(Encoder, "_by_different_parts", lambda self, found: seen.append(sum(map(len, found))) or by_parts(self, found))
+    found = ["one two\nthree"] * 6 + ["long text\n of words" * 40, "long text\nof words" * 40] + ["a b"] * 3
+    assert list(own.encode_all(found)) == [own.whole(t) for t in found]
+    assert seen and max(seen) <= 100
+
+
 @pytest.mark.parametrize("split,path", [("words", WORD), ("byte_level", BYTE)])
 def test_a_full_memory_keeps_its_newer_half_and_the_ids(monkeypatch, split, path):
     monkeypatch.setattr(tokens, "MAX_REMEMBERED", 40)
